@@ -4,7 +4,9 @@ A plain window over a customer puts that customer's whole history into one
 task.  Here the window runs per (key, chunk), so a customer with a third of all
 rows is spread over as many tasks as the history has chunks.  What one chunk
 needs from the earlier ones is carried over from a summary with one row per
-(key, chunk).  Key columns must not be NULL.
+(key, chunk), read off the last row of each chunk.  Rows and summary need the
+same columns in the same order, so both come out of one shuffle.  Key columns
+must not be NULL.
 """
 
 from __future__ import annotations
@@ -15,29 +17,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+CHUNK = "__chunk"
+
+
+def _within(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
+    """Rows of one key and chunk in order; all other columns break ties."""
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    return W.partitionBy(*keys, CHUNK).orderBy(*order, *rest)
+
+
+def _last_rows(chunked: DataFrame, within) -> DataFrame:
+    """The last row of each key and chunk."""
+    return chunked.withColumn("__next", F.lead(F.lit(1)).over(within)).filter("__next IS NULL")
+
 
 def previous_value(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: str, name: str
 ) -> DataFrame:
     """``lag(value)`` per ``keys`` in ``order``; ``chunk`` must not decrease along it."""
     keys = list(keys)
-    chunked = df.withColumn("__chunk", chunk)
-    within = W.partitionBy(*keys, "__chunk").orderBy(*order)
+    within = _within(df, keys, order)
+    chunked = df.withColumn(CHUNK, chunk)
     lagged = chunked.withColumns(
         {"__lag": F.lag(value).over(within), "__pos": F.row_number().over(within)}
     )
-    ends = chunked.groupBy(*keys, "__chunk").agg(
-        F.max_by(value, F.struct(*order)).alias("__end")
-    )
-    carried = ends.select(
-        *keys,
-        "__chunk",
-        F.lag("__end").over(W.partitionBy(*keys).orderBy("__chunk")).alias("__carry"),
+    carried = _last_rows(chunked, within).select(
+        *keys, CHUNK, F.lag(value).over(W.partitionBy(*keys).orderBy(CHUNK)).alias("__carry")
     )
-    return (
-        lagged.join(carried, [*keys, "__chunk"])
-        .withColumn(name, F.when(F.col("__pos") == 1, F.col("__carry")).otherwise(F.col("__lag")))
-        .drop("__chunk", "__lag", "__pos", "__carry")
+    return lagged.join(carried, [*keys, CHUNK]).selectExpr(
+        *df.columns, f"CASE WHEN __pos = 1 THEN __carry ELSE __lag END AS {name}"
     )
 
 
@@ -46,21 +54,17 @@ def running_total(
 ) -> DataFrame:
     """``sum(value)`` up to and with the current ``order`` value; equal ones share the sum."""
     keys = list(keys)
-    chunked = df.withColumn("__chunk", chunk)
-    within = (
-        W.partitionBy(*keys, "__chunk")
+    within = _within(df, keys, [order])
+    peers = (
+        W.partitionBy(*keys, CHUNK)
         .orderBy(order)
         .rangeBetween(W.unboundedPreceding, W.currentRow)
     )
-    before = W.partitionBy(*keys).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        chunked.groupBy(*keys, "__chunk")
-        .agg(F.sum(value).alias("__total"))
-        .select(*keys, "__chunk", F.sum("__total").over(before).alias("__carry"))
+    summed = df.withColumn(CHUNK, chunk).withColumn("__sum", F.sum(value).over(peers))
+    before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    carried = _last_rows(summed, within).select(
+        *keys, CHUNK, F.sum("__sum").over(before).alias("__carry")
     )
-    return (
-        chunked.withColumn("__sum", F.sum(value).over(within))
-        .join(carried, [*keys, "__chunk"])
-        .withColumn(name, F.col("__sum") + F.coalesce("__carry", F.lit(0)))
-        .drop("__chunk", "__sum", "__carry")
+    return summed.join(carried, [*keys, CHUNK]).selectExpr(
+        *df.columns, f"__sum + coalesce(__carry, 0) AS {name}"
     )

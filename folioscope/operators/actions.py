@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope import constants as K
@@ -14,22 +14,20 @@ TRANSACTION_LABELS = tuple(K.TX_LABELS.values()) + tuple(K.AUTO_LABELS.values())
 MEMBER_LABELS = (K.DOWNLOAD, K.REGISTER, K.PROFILE_PICTURE)
 
 
-def _log_row(action_type, at, amount=None, fund_code=None) -> list[Column]:
+def _log(rows: DataFrame, label: str, at: str, amount: str = "0", fund: str | None = None):
     """The five columns of the log; no amount reads 0 and no fund reads 'NA'."""
-    return [
-        F.col("customer_id"),
-        action_type.alias("action_type"),
-        at.cast("timestamp_ntz").alias("timestamp"),
-        (F.lit(0) if amount is None else amount).cast("decimal(18,2)").alias("amount"),
-        (F.lit(K.NO_FUND) if fund_code is None else fund_code).alias("fund_code"),
-    ]
+    return rows.selectExpr(
+        "customer_id",
+        f"{label} AS action_type",
+        f"CAST({at} AS TIMESTAMP_NTZ) AS timestamp",
+        f"CAST({amount} AS DECIMAL(18,2)) AS amount",
+        f"{fund or repr(K.NO_FUND)} AS fund_code",
+    )
 
 
-def _label_of(labels: dict[str, str]) -> Column:
-    mapped = F.lit(None).cast("string")
-    for tx_type, label in labels.items():
-        mapped = F.when(F.col("tx_type") == tx_type, label).otherwise(mapped)
-    return mapped
+def _label_of(labels: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{tx_type}' THEN '{label}'" for tx_type, label in labels.items())
+    return f"CASE tx_type {cases} END" if cases else "CAST(NULL AS STRING)"
 
 
 def transaction_actions(
@@ -55,88 +53,72 @@ def transaction_actions(
     found = [_label_of(plain)]
     if auto:
         auto_funds = (
-            funds.filter(F.col("asset_class") == K.AUTO_ASSET_CLASS)
-            .select(F.col("code").alias("__auto"))
+            funds.filter(f"asset_class = '{K.AUTO_ASSET_CLASS}'")
+            .selectExpr("code AS fund_code", "true AS is_auto")
             .distinct()
         )
-        rows = rows.join(auto_funds, rows["fund_code"] == auto_funds["__auto"], "left")
-        found.append(F.when(F.col("__auto").isNotNull(), _label_of(auto)))
-    label = F.explode(F.filter(F.array(*found), lambda x: x.isNotNull()))
-    fund = F.when(F.col("tx_type").isin(*K.FUND_TX_TYPES), F.col("fund_code"))
-    return (
-        rows.withColumn("label", label)
-        .join(account_ids, "account_serno")
-        .select(
-            *_log_row(
-                F.col("label"),
-                F.col("tx_time"),
-                F.col("amount"),
-                fund.when(~F.col("tx_type").isin(*K.FUND_TX_TYPES), F.lit(K.NO_FUND)),
-            )
-        )
+        rows = rows.join(auto_funds, "fund_code", "left")
+        found.append(f"CASE WHEN is_auto THEN {_label_of(auto)} END")
+    labelled = rows.selectExpr(
+        "account_serno",
+        "tx_type",
+        "tx_time",
+        "amount",
+        "fund_code",
+        f"explode(filter(array({', '.join(found)}), x -> x IS NOT NULL)) AS label",
     )
+    funded = ", ".join(f"'{t}'" for t in K.FUND_TX_TYPES)
+    fund = f"CASE WHEN tx_type IN ({funded}) THEN fund_code ELSE '{K.NO_FUND}' END"
+    return _log(labelled.join(account_ids, "account_serno"), "label", "tx_time", "amount", fund)
 
 
 def member_actions(
     members: DataFrame, ids: DataFrame, now, labels: Collection[str] = MEMBER_LABELS
 ) -> DataFrame:
     """Download, registration and profile picture, from one read of the members."""
-    present = {
-        K.DOWNLOAD: (F.lit(True), F.col("creation_time")),
-        K.REGISTER: (F.lit(True), F.col("registration_time")),
-        K.PROFILE_PICTURE: (F.col("profile_picture").isNotNull(), times.ntz(now)),
+    entries = {
+        K.DOWNLOAD: ("true", "creation_time"),
+        K.REGISTER: ("true", "registration_time"),
+        K.PROFILE_PICTURE: ("profile_picture IS NOT NULL", f"TIMESTAMP_NTZ '{now}'"),
     }
-    entries = [
-        F.when(
-            present[label][0],
-            F.struct(F.lit(label).alias("label"), present[label][1].cast("timestamp_ntz").alias("at")),
-        )
-        for label in present
+    listed = ", ".join(
+        f"CASE WHEN {present} THEN struct('{label}' AS label, CAST({at} AS TIMESTAMP_NTZ) AS at) END"
+        for label, (present, at) in entries.items()
         if label in labels
-    ]
-    found = F.filter(F.array(*entries), lambda x: x.isNotNull())
-    return (
-        members.select(F.col("serno").alias("member_serno"), F.explode(found).alias("entry"))
-        .join(ids, "member_serno")
-        .select(*_log_row(F.col("entry.label"), F.col("entry.at")))
     )
+    found = members.selectExpr(
+        "serno AS member_serno", f"explode(filter(array({listed}), x -> x IS NOT NULL)) AS entry"
+    )
+    return _log(found.join(ids, "member_serno"), "entry.label", "entry.at")
 
 
 def order_cancels(fund_orders: DataFrame, portfolio_ids: DataFrame) -> DataFrame:
     """Fund orders the customer cancelled."""
-    return (
-        fund_orders.filter((F.col("status") == "C") & (F.col("cancelled_by") == "U"))
+    cancelled = (
+        fund_orders.filter("status = 'C' AND cancelled_by = 'U'")
         .select("portfolio_serno", "cancel_time", "amount", "fund_code")
         .join(portfolio_ids, "portfolio_serno")
-        .select(
-            *_log_row(
-                F.lit(K.ORDER_CANCEL), F.col("cancel_time"), F.col("amount"), F.col("fund_code")
-            )
-        )
     )
+    return _log(cancelled, f"'{K.ORDER_CANCEL}'", "cancel_time", "amount", "fund_code")
 
 
 def new_portfolios(portfolios: DataFrame, account_ids: DataFrame) -> DataFrame:
     """Every movable portfolio of a member but the first (the lowest serno)."""
     movable = (
-        portfolios.filter(F.col("type") == "movable")
+        portfolios.filter("type = 'movable'")
         .select("serno", "account_serno", "create_date")
         .join(account_ids, "account_serno")
     )
     first = movable.groupBy("member_serno").agg(F.min("serno").alias("serno"))
-    return movable.join(first, ["member_serno", "serno"], "left_anti").select(
-        *_log_row(F.lit(K.NEW_PORTFOLIO), F.col("create_date"))
-    )
+    later = movable.join(first, ["member_serno", "serno"], "left_anti")
+    return _log(later, f"'{K.NEW_PORTFOLIO}'", "create_date")
 
 
 def multiple_ibans(ibans: DataFrame, ids: DataFrame, now) -> DataFrame:
     """Members with more than one recorded bank account."""
-    return (
-        ibans.groupBy("member_serno")
-        .count()
-        .filter(F.col("count") > 1)
-        .join(ids, "member_serno")
-        .select(*_log_row(F.lit(K.MULTI_IBAN), times.ntz(now)))
+    several = ibans.groupBy("member_serno").count().filter("count > 1")
+    return _log(
+        several.join(ids, "member_serno"), f"'{K.MULTI_IBAN}'", f"TIMESTAMP_NTZ '{now}'"
     )
 
 

@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Collection
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioscope import constants as K
 from folioscope.functions import times
-from folioscope.functions.numbers import ratio
-from folioscope.operators.static import age
 
 # Column order of the matrix.
 FEATURES = (
@@ -51,31 +49,28 @@ FEATURES = (
 NO_DEFAULT = ("popular_fund_ratio",)
 
 
-# App events
+# Conditions and measures below are SQL expressions: a matrix of thirty columns
+# is planned much faster from texts than from nested column calls.
+
 
+def _mentions(column: str, word: str) -> str:
+    return f"contains(lower({column}), '{word.lower()}')"
 
-def _mentions(column: str, word: str) -> Column:
-    return F.lower(column).contains(word.lower())
 
+# App events
 
-def _event_condition(name: str) -> Column:
+
+def _event_condition(name: str) -> str:
     rule = K.EVENT_FEATURES[name]
     terms = []
     for key, column in (("view", "view_name"), ("action", "action"), ("details", "details")):
         if key in rule:
             terms.append(_mentions(column, rule[key]))
         if f"{key}_is" in rule:
-            terms.append(F.col(column) == rule[f"{key}_is"])
+            terms.append(f"{column} = '{rule[f'{key}_is']}'")
     if rule.get("night"):
-        terms.append(times.is_night(F.col("event_time")))
-    return reduce(lambda a, b: a & b, terms)
-
-
-def _measured(name: str, hits: Column) -> Column:
-    """The value an event feature takes; NULL if no event matched."""
-    if K.EVENT_FEATURES[name]["kind"] == "flag":
-        return F.when(hits > 0, 1).alias(name)
-    return F.nullif(hits, F.lit(0)).alias(name)
+        terms.append("(hour(event_time) >= 22 OR hour(event_time) < 6)")
+    return " AND ".join(terms)
 
 
 def event_features(
@@ -83,53 +78,20 @@ def event_features(
 ) -> DataFrame:
     """Any number of event features from one pass over the events.
 
-    Customers without a match of any of them are left out.
+    A feature without a match is NULL; customers without any match are left out.
     """
     conditions = {name: _event_condition(name) for name in names}
-    matching = reduce(lambda a, b: a | b, conditions.values())
-    hits = digital_actions.filter(matching).groupBy("customer_id").agg(
-        *[F.count_if(condition).alias(name) for name, condition in conditions.items()]
-    )
-    return hits.select("customer_id", *[_measured(name, F.col(name)) for name in names])
+    hits = digital_actions.filter(" OR ".join(f"({c})" for c in conditions.values()))
+    measures = []
+    for name, condition in conditions.items():
+        add = "max" if K.EVENT_FEATURES[name]["kind"] == "flag" else "sum"
+        measures.append(F.expr(f"{add}(CASE WHEN {condition} THEN 1 END) AS {name}"))
+    return hits.groupBy("customer_id").agg(*measures)
 
 
 # Purchases that follow a look at strategies
 
-
-def _week(at: Column) -> Column:
-    return F.floor(F.datediff(at, F.lit("1970-01-05").cast("date")) / K.STRATEGY_DAYS)
-
-
-def _two_ends(times_: DataFrame, latest: bool) -> DataFrame:
-    """The two earliest (or latest) times per customer and week, as ``lo <= hi`` and ``n``.
-
-    The row_number limit is applied before the shuffle too, so of a customer
-    with very many rows only two per task and week travel.
-    """
-    order = F.col("at").desc() if latest else F.col("at").asc()
-    week = W.partitionBy("customer_id", "week").orderBy(order)
-    return (
-        times_.withColumn("__n", F.row_number().over(week))
-        .filter(F.col("__n") <= 2)
-        .groupBy("customer_id", "week")
-        .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n"))
-    )
-
-
-def _pairs(seen: DataFrame, bought: DataFrame, holds) -> DataFrame:
-    """How many of the (at most four) pairs of kept times satisfy ``holds(seen, bought)``."""
-    s = seen.selectExpr("customer_id", "week", "lo as s_lo", "hi as s_hi", "n as s_n")
-    b = bought.selectExpr("customer_id", "week", "lo as b_lo", "hi as b_hi", "n as b_n")
-    two_s, two_b = F.col("s_n") == 2, F.col("b_n") == 2
-    s_lo, s_hi, b_lo, b_hi = (F.col(c) for c in ("s_lo", "s_hi", "b_lo", "b_hi"))
-    hits = [
-        holds(s_lo, b_lo),
-        two_s & holds(s_hi, b_lo),
-        two_b & holds(s_lo, b_hi),
-        two_s & two_b & holds(s_hi, b_hi),
-    ]
-    count = reduce(lambda a, c: a + c, [F.when(hit, 1).otherwise(0) for hit in hits])
-    return s.join(b, ["customer_id", "week"]).select("customer_id", count.alias("pairs"))
+STRATEGY_WEEK = f"floor(datediff(at, DATE '1970-01-05') / {K.STRATEGY_DAYS})"
 
 
 def otonombuy(digital_actions: DataFrame, actions: DataFrame) -> DataFrame:
@@ -141,46 +103,90 @@ def otonombuy(digital_actions: DataFrame, actions: DataFrame) -> DataFrame:
     pairs hold, two also hold among the two earliest views and two latest
     purchases of a week, and likewise the two latest views and two earliest
     purchases of neighbouring weeks; those are all that is kept.
+
+    Every row stands in both contests, told apart by ``across``, with a rank
+    that puts the wanted end first.  The row_number limit is applied before the
+    shuffle too, so of a customer with very many rows only two per task, week
+    and contest travel.
     """
-    seen = digital_actions.filter(_mentions("details", K.STRATEGY_WORD)).select(
-        "customer_id", F.col("event_time").alias("at")
+    seen = digital_actions.filter(_mentions("details", K.STRATEGY_WORD)).selectExpr(
+        "customer_id", "true AS is_view", "event_time AS at"
     )
     at = times.as_time(actions, "timestamp")
-    bought = actions.filter(_mentions("action_type", K.FUND_BUY) & at.isNotNull()).select(
-        "customer_id", at.alias("at")
+    bought = (
+        actions.filter(_mentions("action_type", K.FUND_BUY))
+        .select("customer_id", F.lit(False).alias("is_view"), at.alias("at"))
+        .filter("at IS NOT NULL")
+    )
+    contests = (
+        seen.unionByName(bought)
+        .selectExpr("*", f"{STRATEGY_WEEK} AS week", "explode(array(false, true)) AS across")
+        .selectExpr(
+            "customer_id",
+            "is_view",
+            "at",
+            "across",
+            # A view meets the purchases of the next week in the contest across weeks.
+            "week + int(across AND is_view) AS week",
+            "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', at)"
+            " * CASE WHEN is_view = across THEN -1 ELSE 1 END AS rank",
+        )
+    )
+    group = ["customer_id", "across", "week"]
+    ends = W.partitionBy(*group, "is_view").orderBy("rank")
+    kept = contests.withColumn("n", F.row_number().over(ends)).filter("n <= 2")
+    pairs = (
+        kept.groupBy(*group)
+        .agg(
+            *[
+                F.expr(f"min(CASE WHEN {side} AND n = {n} THEN at END) AS {name}{n}")
+                for side, name in (("is_view", "v"), ("NOT is_view", "p"))
+                for n in (1, 2)
+            ]
+        )
+        .selectExpr(
+            "customer_id",
+            " + ".join(
+                f"int(coalesce(v{v} <= p{p} AND p{p} <= v{v} + INTERVAL {K.STRATEGY_DAYS} DAYS, false))"
+                for v in (1, 2)
+                for p in (1, 2)
+            )
+            + " AS pairs",
+        )
     )
-    seen = seen.withColumn("week", _week(F.col("at")))
-    bought = bought.withColumn("week", _week(F.col("at")))
-    span = F.expr(f"INTERVAL {K.STRATEGY_DAYS} DAYS")
-    same = _pairs(_two_ends(seen, False), _two_ends(bought, True), lambda s, b: s <= b)
-    following = _two_ends(seen, True).withColumn("week", F.col("week") + 1)
-    across = _pairs(following, _two_ends(bought, False), lambda s, b: b <= s + span)
     return (
-        same.unionByName(across)
-        .groupBy("customer_id")
+        pairs.groupBy("customer_id")
         .agg(F.sum("pairs").alias("pairs"))
-        .filter(F.col("pairs") > 1)
-        .select("customer_id", F.lit(1).alias("otonombuy"))
+        .filter("pairs > 1")
+        .selectExpr("customer_id", "1 AS otonombuy")
     )
 
 
 # Members, surveys, holdings and actions
 
+HAS_BIT = f"result_key = '{K.BIT_KEY}'"
+IS_READY = "account_ready_time IS NOT NULL"
+TAKES_INTEREST = "interest_preference = 'Y'"
+IS_OPEN = "action_type = 'open'"
+IS_PURCHASE = f"(action_type = '{K.FUND_BUY}' AND fund_code IS NOT NULL)"
+IS_NEW_PORTFOLIO = f"action_type = '{K.NEW_PORTFOLIO}'"
+IS_MULTI_IBAN = f"action_type = '{K.MULTI_IBAN}'"
 
-def _flagged(df: DataFrame, condition: Column, name: str) -> DataFrame:
-    return df.filter(condition).select("customer_id", F.lit(1).alias(name)).distinct()
 
+def _of_age(as_of) -> str:
+    return f"year(DATE '{as_of}') - birth_year BETWEEN {K.AGE_FROM} AND {K.AGE_TO}"
 
-def dya_score(bias: DataFrame) -> DataFrame:
-    return _flagged(bias, F.col("result_key") == K.BIT_KEY, "dya_score")
 
+def _flagged(df: DataFrame, condition: str, name: str) -> DataFrame:
+    return df.filter(condition).selectExpr("customer_id", f"1 AS {name}").distinct()
 
-def has_account_ready(details: DataFrame) -> DataFrame:
-    return _flagged(details, F.col("account_ready_time").isNotNull(), "has_account_ready")
+
+def dya_score(bias: DataFrame) -> DataFrame:
+    return _flagged(bias, HAS_BIT, "dya_score")
 
 
-def _of_age(as_of) -> Column:
-    return age(as_of).between(K.AGE_FROM, K.AGE_TO)
+def has_account_ready(details: DataFrame) -> DataFrame:
+    return _flagged(details, IS_READY, "has_account_ready")
 
 
 def age_28_48(details: DataFrame, as_of) -> DataFrame:
@@ -188,30 +194,34 @@ def age_28_48(details: DataFrame, as_of) -> DataFrame:
 
 
 def faiz_okey(details: DataFrame) -> DataFrame:
-    return _flagged(details, F.col("interest_preference") == "Y", "faiz_okey")
+    return _flagged(details, TAKES_INTEREST, "faiz_okey")
 
 
-def _with_participation(df: DataFrame, funds: DataFrame) -> DataFrame:
-    """Add ``is_participation``: whether the row's fund is a participation fund."""
-    codes = (
-        funds.filter(F.col("asset_class") == K.PARTICIPATION_ASSET_CLASS)
-        .select(F.col("code").alias("fund_code"))
-        .distinct()
-        .withColumn("__found", F.lit(True))
-    )
-    return (
-        df.join(codes, "fund_code", "left")
-        .withColumn("is_participation", F.col("__found").isNotNull())
-        .drop("__found")
+def _marked(df: DataFrame, codes: DataFrame, name: str) -> DataFrame:
+    """Add ``name``: whether the row's ``fund_code`` is one of ``codes``."""
+    listed = codes.distinct().withColumn("__found", F.lit(True))
+    return df.join(listed, "fund_code", "left").selectExpr(
+        *df.columns, f"__found IS NOT NULL AS {name}"
     )
 
 
-def _participation_size() -> Column:
-    return F.when(F.col("is_participation"), F.col("size")).otherwise(0)
+def _with_participation(df: DataFrame, funds: DataFrame) -> DataFrame:
+    codes = funds.filter(f"asset_class = '{K.PARTICIPATION_ASSET_CLASS}'")
+    return _marked(df, codes.selectExpr("code AS fund_code"), "is_participation")
+
+
+def _with_popular(actions: DataFrame, popular: DataFrame) -> DataFrame:
+    """A fund is popular if any day lists it."""
+    return _marked(actions, popular.select("fund_code"), "is_popular")
 
 
-def _mostly_participation(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, ratio(part, whole) > K.PARTICIPATION_SHARE)
+def _mostly(part: str, whole: str) -> str:
+    share = f"try_divide(double(coalesce({part}, 0)), double({whole}))"
+    return f"({whole} > 0 AND {share} > double({K.PARTICIPATION_SHARE}))"
+
+
+def _popular_ratio(popular: str, bought: str) -> str:
+    return f"coalesce(try_divide(double({popular}), double({bought})), 0D)"
 
 
 def katilim_yatirim(holdings: DataFrame, funds: DataFrame) -> DataFrame:
@@ -219,11 +229,12 @@ def katilim_yatirim(holdings: DataFrame, funds: DataFrame) -> DataFrame:
     sums = (
         _with_participation(holdings, funds)
         .groupBy("customer_id")
-        .agg(F.sum(_participation_size()).alias("part"), F.sum("size").alias("whole"))
-    )
-    return _flagged(
-        sums, _mostly_participation(F.col("part"), F.col("whole")), "katilim_yatirim"
+        .agg(
+            F.expr("sum(CASE WHEN is_participation THEN size END) AS part"),
+            F.expr("sum(size) AS whole"),
+        )
     )
+    return _flagged(sums, _mostly("part", "whole"), "katilim_yatirim")
 
 
 def katilim_ilgi(fund_actions: DataFrame, funds: DataFrame) -> DataFrame:
@@ -233,29 +244,11 @@ def katilim_ilgi(fund_actions: DataFrame, funds: DataFrame) -> DataFrame:
     which has none, gives no customer at all.
     """
     counts = (
-        _with_participation(fund_actions.filter(F.col("action_type") == "open"), funds)
+        _with_participation(fund_actions.filter(IS_OPEN), funds)
         .groupBy("customer_id")
-        .agg(F.count_if("is_participation").alias("part"), F.count(F.lit(1)).alias("whole"))
-    )
-    return _flagged(counts, _mostly_participation(F.col("part"), F.col("whole")), "katilim_ilgi")
-
-
-def _with_popular(actions: DataFrame, popular: DataFrame) -> DataFrame:
-    """Add ``is_popular``; a fund is popular if any day lists it."""
-    codes = popular.select("fund_code").distinct().withColumn("__found", F.lit(True))
-    return (
-        actions.join(codes, "fund_code", "left")
-        .withColumn("is_popular", F.col("__found").isNotNull())
-        .drop("__found")
+        .agg(F.expr("count_if(is_participation) AS part"), F.expr("count(1) AS whole"))
     )
-
-
-def _is_purchase() -> Column:
-    return (F.col("action_type") == K.FUND_BUY) & F.col("fund_code").isNotNull()
-
-
-def _popular_ratio(popular: Column, bought: Column) -> Column:
-    return F.when(bought > 0, ratio(popular, bought)).otherwise(0.0)
+    return _flagged(counts, _mostly("part", "whole"), "katilim_ilgi")
 
 
 def popular_fund_ratio(actions: DataFrame, popular: DataFrame) -> DataFrame:
@@ -264,22 +257,20 @@ def popular_fund_ratio(actions: DataFrame, popular: DataFrame) -> DataFrame:
         _with_popular(actions, popular)
         .groupBy("customer_id")
         .agg(
-            F.count_if(_is_purchase() & F.col("is_popular")).alias("popular"),
-            F.count_if(_is_purchase()).alias("bought"),
+            F.expr(f"count_if({IS_PURCHASE} AND is_popular) AS popular"),
+            F.expr(f"count_if({IS_PURCHASE}) AS bought"),
         )
     )
-    return counts.select(
-        "customer_id",
-        _popular_ratio(F.col("popular"), F.col("bought")).alias("popular_fund_ratio"),
-    )
+    ratio = _popular_ratio("popular", "bought")
+    return counts.selectExpr("customer_id", f"{ratio} AS popular_fund_ratio")
 
 
 def yeni_portfoy(actions: DataFrame) -> DataFrame:
-    return _flagged(actions, F.col("action_type") == K.NEW_PORTFOLIO, "yeni_portfoy")
+    return _flagged(actions, IS_NEW_PORTFOLIO, "yeni_portfoy")
 
 
 def birden_fazla_banka_hesabi(actions: DataFrame) -> DataFrame:
-    return _flagged(actions, F.col("action_type") == K.MULTI_IBAN, "birden_fazla_banka_hesabi")
+    return _flagged(actions, IS_MULTI_IBAN, "birden_fazla_banka_hesabi")
 
 
 # The matrix
@@ -312,79 +303,74 @@ def feature_updates(
     population falls out of the same grouping.  ``legacy_interest`` takes the
     fund interest from the action log instead of the fund views.
     """
-    one = F.lit(1)
-
-    def marks(df: DataFrame, **columns: Column) -> DataFrame:
-        return df.select("customer_id", *[c.alias(name) for name, c in columns.items()])
 
-    def mark(condition: Column) -> Column:
-        return F.when(condition, 1)
+    def marks(df: DataFrame, known: bool = False, **conditions: str) -> DataFrame:
+        """1 or NULL per condition; ``known`` rows make their customer part of the population."""
+        columns = [f"CASE WHEN {c} THEN 1 END AS {name}" for name, c in conditions.items()]
+        return df.selectExpr("customer_id", *(["1 AS __known"] if known else []), *columns)
 
     opens = actions if legacy_interest else fund_actions
-    opens = _with_participation(opens.filter(F.col("action_type") == "open"), funds)
     sources = [
-        marks(
-            digital_actions,
-            __known=one,
-            **{name: mark(_event_condition(name)) for name in K.EVENT_FEATURES},
-        ),
+        marks(digital_actions, True, **{name: _event_condition(name) for name in K.EVENT_FEATURES}),
         marks(
             _with_popular(actions, popular),
-            __known=one,
-            __acted=one,
-            __bought=mark(_is_purchase()),
-            __popular=mark(_is_purchase() & F.col("is_popular")),
-            yeni_portfoy=mark(F.col("action_type") == K.NEW_PORTFOLIO),
-            birden_fazla_banka_hesabi=mark(F.col("action_type") == K.MULTI_IBAN),
+            True,
+            __acted="true",
+            __bought=IS_PURCHASE,
+            __popular=f"{IS_PURCHASE} AND is_popular",
+            yeni_portfoy=IS_NEW_PORTFOLIO,
+            birden_fazla_banka_hesabi=IS_MULTI_IBAN,
         ),
         marks(
             details,
-            __known=one,
-            has_account_ready=mark(F.col("account_ready_time").isNotNull()),
-            age_28_48=mark(_of_age(as_of)),
-            faiz_okey=mark(F.col("interest_preference") == "Y"),
+            True,
+            has_account_ready=IS_READY,
+            age_28_48=_of_age(as_of),
+            faiz_okey=TAKES_INTEREST,
+        ),
+        marks(bias, dya_score=HAS_BIT),
+        _with_participation(holdings, funds).selectExpr(
+            "customer_id",
+            "CAST(size AS DECIMAL(28,2)) AS __held",
+            "CASE WHEN is_participation THEN CAST(size AS DECIMAL(28,2)) END AS __held_part",
         ),
-        marks(bias, dya_score=mark(F.col("result_key") == K.BIT_KEY)),
         marks(
-            _with_participation(holdings, funds),
-            __held_part=_participation_size().cast("decimal(28,2)"),
-            __held=F.col("size").cast("decimal(28,2)"),
+            _with_participation(opens.filter(IS_OPEN), funds),
+            __opened="true",
+            __opened_part="is_participation",
         ),
-        marks(opens, __opened_part=mark(F.col("is_participation")), __opened=one),
         otonombuy(digital_actions, actions),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
-    summed = [*(n for n, r in K.EVENT_FEATURES.items() if r["kind"] == "count")]
-    summed += ["__bought", "__popular", "__held_part", "__held", "__opened_part", "__opened"]
-    highest = [c for c in rows.columns if c not in summed and c != "customer_id"]
-    total = rows.groupBy("customer_id").agg(
-        *[F.sum(c).alias(c) for c in summed], *[F.max(c).alias(c) for c in highest]
-    )
-
-    def or_zero(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0))
-
+    summed = {name for name, rule in K.EVENT_FEATURES.items() if rule["kind"] == "count"}
+    summed |= {"__bought", "__popular", "__held", "__held_part", "__opened", "__opened_part"}
+    measures = [
+        F.expr(f"{'sum' if c in summed else 'max'}({c}) AS {c}")
+        for c in rows.columns
+        if c != "customer_id"
+    ]
     derived = {
-        "katilim_yatirim": F.when(_mostly_participation(or_zero("__held_part"), F.col("__held")), 1),
-        "katilim_ilgi": F.when(_mostly_participation(or_zero("__opened_part"), F.col("__opened")), 1),
-        "popular_fund_ratio": F.when(
-            F.col("__acted") == 1, _popular_ratio(or_zero("__popular"), or_zero("__bought"))
-        ),
+        "katilim_yatirim": f"CASE WHEN {_mostly('__held_part', '__held')} THEN 1 END",
+        "katilim_ilgi": f"CASE WHEN {_mostly('__opened_part', '__opened')} THEN 1 END",
+        "popular_fund_ratio": "CASE WHEN __acted = 1 THEN "
+        + _popular_ratio("coalesce(__popular, 0)", "__bought")
+        + " END",
     }
-    return total.filter(F.col("__known") == 1).select(
-        "customer_id", *[derived.get(name, F.col(name)).alias(name) for name in FEATURES]
+    return (
+        rows.groupBy("customer_id")
+        .agg(*measures)
+        .filter("__known = 1")
+        .selectExpr("customer_id", *[f"{derived.get(name, name)} AS {name}" for name in FEATURES])
     )
 
 
+def _default(name: str) -> str:
+    return name if name in NO_DEFAULT else f"coalesce({name}, 0) AS {name}"
+
+
 def feature_defaults(updates: DataFrame) -> DataFrame:
     """Fill what was never measured: 0, but no ratio of purchases where there is no action."""
-    return updates.select(
-        "customer_id",
-        *[
-            F.col(name) if name in NO_DEFAULT else F.coalesce(name, F.lit(0)).alias(name)
-            for name in FEATURES
-        ],
-    )
+    return updates.selectExpr("customer_id", *[_default(name) for name in FEATURES])
 
 
 def feature_merge(updates: DataFrame, previous: DataFrame) -> DataFrame:
@@ -392,8 +378,8 @@ def feature_merge(updates: DataFrame, previous: DataFrame) -> DataFrame:
 
     Customers of the earlier matrix stay, and new ones enter.
     """
-    old = previous.select("customer_id", *[F.col(name).alias(f"__{name}") for name in FEATURES])
-    merged = updates.join(old, "customer_id", "full_outer").select(
-        "customer_id", *[F.coalesce(name, f"__{name}").alias(name) for name in FEATURES]
+    old = previous.selectExpr("customer_id", *[f"{name} AS __{name}" for name in FEATURES])
+    merged = updates.join(old, "customer_id", "full_outer").selectExpr(
+        "customer_id", *[f"coalesce({name}, __{name}) AS {name}" for name in FEATURES]
     )
     return feature_defaults(merged)

@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from folioscope.functions.times import display_timestamp
 
 
+ELIGIBLE = (
+    "status = 'A' AND mobile_number_verified = '1' AND (account_ready_time IS NOT NULL"
+    " OR (account_type = 'named' AND registration_time IS NOT NULL))"
+)
+
+
 def eligible_members(members: DataFrame) -> DataFrame:
     """Active, mobile-verified members that opened an account or registered by name."""
-    opened = F.col("account_ready_time").isNotNull()
-    registered = (F.col("account_type") == "named") & F.col("registration_time").isNotNull()
-    return (
-        members.filter((F.col("status") == "A") & (F.col("mobile_number_verified") == "1"))
-        .filter(opened | registered)
-        .select("serno")
-        .distinct()
-    )
+    return members.filter(ELIGIBLE).select("serno").distinct()
 
 
 def member_by_id(members: DataFrame, serno: int) -> DataFrame:
@@ -75,15 +74,18 @@ def pseudonymize(
 
 
 def customer_ids(members: DataFrame, mapping: DataFrame, strict: bool = False) -> DataFrame:
-    """``member_serno -> customer_id`` of the eligible members.
+    """``member_serno -> customer_id`` of the eligible members, each once.
 
     Fact tables join this once: the check of eligibility and the change of id
     happen in one shuffle of the large side.
     """
-    eligible = eligible_members(members).withColumnRenamed("serno", "member_serno")
-    ids = eligible.join(id_mapping(mapping), "member_serno", "inner" if strict else "left")
-    return ids.select(
-        "member_serno", F.coalesce("random_serno", "member_serno").alias("customer_id")
+    random_ids = mapping.selectExpr("actual_serno AS member_serno", "random_serno")
+    return (
+        members.filter(ELIGIBLE)
+        .selectExpr("serno AS member_serno")
+        .join(random_ids, "member_serno", "inner" if strict else "left")
+        .groupBy("member_serno")
+        .agg(F.expr("coalesce(max(random_serno), member_serno) AS customer_id"))
     )
 
 

@@ -73,11 +73,7 @@ def conversion_events(spark: SparkSession) -> DataFrame:
 
 
 def _has_ignored_word() -> Column:
-    name = F.lower("event_field")
-    found = F.lit(False)
-    for word in K.IGNORED_WORDS:
-        found = found | name.contains(word)
-    return found
+    return F.col("event_field").rlike("(?i)" + "|".join(K.IGNORED_WORDS))
 
 
 def ignored_events(formatted: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The source tables, derived from the generated test tables.
 
-The texts run in Spark and, for checking, in another SQL engine; only the
-spelling of a zone-free timestamp literal differs (``{ts}``).
+The texts run in Spark and, for checking, in another SQL engine; only zone-free
+timestamp literals (``{ts}``) and literal lists (``{pick_...}``) are spelled
+differently.
 """
 
 from __future__ import annotations
@@ -50,9 +51,17 @@ EVENT_CATALOGUE = (
 )
 
 
-def _pick(position: int) -> str:
-    cases = " ".join(f"WHEN {k} THEN '{e[position]}'" for k, e in enumerate(EVENT_CATALOGUE))
-    return f"CASE k % 32 {cases} END"
+# Picking from a literal list: ``(before, after)`` the listed texts, per engine.
+SPARK_LIST = ("element_at(array(", "), k % 32 + 1)")
+OTHER_LIST = ("list_extract([", "], k % 32 + 1)")
+
+
+def _spelled(text: str, timestamp: str, pick: tuple[str, str]) -> str:
+    """The view in one engine's spelling."""
+    for position, part in enumerate(("view", "action", "detail")):
+        listed = ", ".join(f"'{event[position]}'" for event in EVENT_CATALOGUE)
+        text = text.replace(f"{{pick_{part}}}", listed.join(pick))
+    return text.replace("{ts}", timestamp)
 
 
 VIEWS = {
@@ -81,11 +90,11 @@ FROM {part} WHERE p_partkey < 100
 SELECT DATE '2024-01-01' AS day, concat('F', lpad(CAST(p_partkey AS STRING), 2, '0')) AS fund_code,
  CASE WHEN p_size > 40 THEN 'Popular' ELSE 'New' END AS list_type FROM {part} WHERE p_partkey < 100
 """,
-    "activity": f"""
-SELECT event_id, member_serno, {_pick(0)} AS view_name, {_pick(1)} AS activity,
- CASE WHEN k % 32 IN (3,4,5,6) THEN concat({_pick(2)}, ',F', lpad(CAST(event_id % (CASE WHEN member_serno % 10 = 3 THEN 10 ELSE 100 END) AS STRING), 2, '0')) ELSE {_pick(2)} END AS details,
+    "activity": """
+SELECT event_id, member_serno, {pick_view} AS view_name, {pick_action} AS activity,
+ CASE WHEN k % 32 IN (3,4,5,6) THEN concat({pick_detail}, ',F', lpad(CAST(event_id % (CASE WHEN member_serno % 10 = 3 THEN 10 ELSE 100 END) AS STRING), 2, '0')) ELSE {pick_detail} END AS details,
  client_time, server_time FROM (SELECT event_id, user_id AS member_serno, CAST(substring(props, 7, length(props) - 7) AS INT) AS k,
- ts AS client_time, ts + INTERVAL '2' SECOND AS server_time FROM {{events}}) e
+ ts AS client_time, ts + INTERVAL '2' SECOND AS server_time FROM {events}) e
 """,
     "accounts": """
 SELECT c_custkey AS serno, c_custkey AS member_serno, 'A' AS status FROM {customer}
@@ -145,7 +154,7 @@ def tables_used(name: str) -> list[str]:
 
 def sql_text(name: str) -> str:
     """The view as plain SQL over the test tables' own names."""
-    text = VIEWS[name].replace("{ts}", "TIMESTAMP")
+    text = _spelled(VIEWS[name], "TIMESTAMP", OTHER_LIST)
     return re.sub(r"\{(\w+)\}", r"\1", text).strip()
 
 
@@ -159,7 +168,7 @@ class SampleSources(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             base = {t: self._base(t) for t in tables_used(name)}
-            text = VIEWS[name].replace("{ts}", "TIMESTAMP_NTZ")
+            text = _spelled(VIEWS[name], "TIMESTAMP_NTZ", SPARK_LIST)
             self._made[name] = self.spark.sql(text, **base)
         return self._made[name]
 
