@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folioscope import constants as K
 from folioscope.functions import times
+from folioscope.functions.joins import salted_join
 from folioscope.functions.ordered import previous_value, running_total
 
 HISTORY = ["customer_id"]
@@ -154,34 +155,33 @@ def conversion_occurrences(process: DataFrame) -> DataFrame:
     )
 
 
-def prior_events(process: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """Events before a conversion: one row per event and kind of conversion after it.
+def _before_conversion(events: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """Each event once per kind of conversion that some occurrence follows it with.
 
     An event lies before some occurrence exactly when it lies before the latest
     one, so events meet one bound per kind instead of every occurrence.
     """
     bounds = occurrences.groupBy(*PATH).agg(F.max("converted_timestamp").alias("__last"))
-    return (
-        process.select("customer_id", "converted_timestamp", "event_field")
-        .join(bounds, "customer_id")
-        .filter(F.col("converted_timestamp") < F.col("__last"))
-        .select(
-            *PATH,
-            F.col("converted_timestamp").alias("event_time"),
-            F.col("event_field").alias("event_type"),
-        )
+    met = salted_join(events, bounds, "customer_id", ["event_time", "event_type"])
+    return met.filter("event_time < __last").drop("__last")
+
+
+def _named_events(process: DataFrame) -> DataFrame:
+    return process.selectExpr(
+        "customer_id", "converted_timestamp AS event_time", "event_field AS event_type"
     )
 
 
+def prior_events(process: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """Events before a conversion: one row per event and kind of conversion after it."""
+    found = _before_conversion(_named_events(process), occurrences)
+    return found.select(*PATH, "event_time", "event_type")
+
+
 def event_prev(process: DataFrame, chunk: str = "hour") -> DataFrame:
     """Each event with the one before it, per customer by time (name breaks ties)."""
-    events = process.select(
-        "customer_id",
-        F.col("converted_timestamp").alias("event_time"),
-        F.col("event_field").alias("event_type"),
-    )
     return previous_value(
-        events,
+        _named_events(process),
         HISTORY,
         ["event_time", "event_type"],
         F.date_trunc(chunk, "event_time"),
@@ -196,14 +196,14 @@ def event_groups(process: DataFrame, occurrences: DataFrame, chunk: str = "hour"
     A run starts where the event differs from the one before it; events at the
     same time share the number reached after all of them.
     """
-    bounds = occurrences.groupBy(*PATH).agg(F.max("converted_timestamp").alias("__last"))
-    changed = F.col("prev_event").isNull() | (F.col("event_type") != F.col("prev_event"))
-    flagged = (
-        event_prev(process, chunk)
-        .withColumn("is_new_group", F.when(changed, 1).otherwise(0))
-        .join(bounds, "customer_id")
-        .filter(F.col("event_time") < F.col("__last"))
-        .select(*PATH, "event_time", "event_type", "is_new_group")
+    flagged = event_prev(process, chunk).selectExpr(
+        "customer_id",
+        "event_time",
+        "event_type",
+        "int(prev_event IS NULL OR event_type != prev_event) AS is_new_group",
+    )
+    flagged = _before_conversion(flagged, occurrences).select(
+        *PATH, "event_time", "event_type", "is_new_group"
     )
     return running_total(
         flagged, PATH, "event_time", F.date_trunc(chunk, "event_time"), "is_new_group", "event_group"
