@@ -61,15 +61,14 @@ def digital_formatted(
 
 
 def conversion_events(spark: SparkSession) -> DataFrame:
-    """The conversion events, as a constant table."""
-    rows = [
-        (seq, "last", view, action, details, f"{view} - {action} - {details}")
+    """The conversion events, as literal rows, whose size the planner knows to be small."""
+    rows = ", ".join(
+        f"({seq}, 'last', '{view}', '{action}', '{details}', '{view} - {action} - {details}')"
         for seq, view, action, details in K.CONVERSION_EVENTS
-    ]
-    return spark.createDataFrame(
-        rows,
-        "seq int, direction string, view_name string, action string, "
-        "event_details string, event_field string",
+    )
+    return spark.sql(
+        f"SELECT * FROM VALUES {rows} "
+        "AS t(seq, direction, view_name, action, event_details, event_field)"
     )
 
 
@@ -79,9 +78,8 @@ def _has_ignored_word() -> Column:
 
 def ignored_events(formatted: DataFrame) -> DataFrame:
     """Event names left out of paths: the fixed ones and those seen with an ignored word."""
-    fixed = formatted.sparkSession.createDataFrame(
-        [(name,) for name in K.IGNORED_EVENTS], "ignored_event_field string"
-    )
+    rows = ", ".join(f"('{name}')" for name in K.IGNORED_EVENTS)
+    fixed = formatted.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(ignored_event_field)")
     seen = (
         formatted.filter(_has_ignored_word())
         .select(F.col("event_field").alias("ignored_event_field"))

@@ -54,13 +54,20 @@ class Fixture:
     def process(self) -> DataFrame:
         return paths.digital_process(self.formatted, self.landed.actions, AS_OF)
 
+    @cached_property
+    def stored_process(self) -> DataFrame:
+        """The process as the daily job leaves it: a table, for plans that read it repeatedly."""
+        path = f"{shared_dir(self.spark)}/digital_actions_process"
+        sinks.write_table(self.process, path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def occurrences(self) -> DataFrame:
-        return paths.conversion_occurrences(self.process)
+        return paths.conversion_occurrences(self.stored_process)
 
     @cached_property
     def prior(self) -> DataFrame:
-        return paths.prior_events(self.process, self.occurrences)
+        return paths.prior_events(self.stored_process, self.occurrences)
 
 
 Query = Callable[[Fixture], DataFrame]
@@ -200,13 +207,13 @@ PATHS: dict[str, Query] = {
     "digital_formatted": lambda f: f.formatted,
     "ignored_events": lambda f: paths.ignored_events(f.formatted),
     "digital_process": lambda f: f.process,
-    "conversion_occurrences": lambda f: f.occurrences,
+    "conversion_occurrences": lambda f: paths.conversion_occurrences(f.process),
     "prior_events": lambda f: f.prior,
     "event_prev": lambda f: paths.event_prev(f.process),
-    "event_groups": lambda f: paths.event_groups(f.process, f.occurrences),
+    "event_groups": lambda f: paths.event_groups(f.stored_process, f.occurrences),
     "latest_per_event_type": lambda f: paths.latest_per_event_type(f.prior),
     "last_3_events": lambda f: paths.last_3_events(paths.latest_per_event_type(f.prior)),
-    "out_path_4_events": lambda f: paths.out_path_4_events(f.process),
+    "out_path_4_events": lambda f: paths.out_path_4_events(f.stored_process),
 }
 
 STATIC: dict[str, Query] = {

@@ -13,6 +13,7 @@ from folioscope import schemas
 from folioscope.operators import members, paths
 from folioscope.plans import summaries
 from folioscope.plans.landing import Landing
+from folioscope.session import use_checkpoints
 from folioscope.sinks import state as job_state
 from folioscope.sinks.tables import upload_log, write_table
 
@@ -84,7 +85,9 @@ class DailyRun:
 
     def land(self) -> None:
         start, end = self.window.start, self.window.end
+        use_checkpoints(self.spark)
         new = Landing(self.sources, start, end, self.as_of)
+        new.fix_ids()
         shared = members.id_collisions(new.ids)
         if not shared.isEmpty():
             raise ValueError("a kept real id equals another member's random id")
@@ -98,6 +101,7 @@ class DailyRun:
         self._write("actions", new.snapshot_actions, mode="append", load=SNAPSHOT)
         # A month is complete only from its first day on, whatever the window.
         months = Landing(self.sources, start.replace(day=1), end, self.as_of)
+        months.share_ids(new)
         for name in BY_MONTH:
             self._write(
                 name,

@@ -45,6 +45,16 @@ class Landing:
     def portfolio_ids(self) -> DataFrame:
         return members.portfolio_customers(self.sources["portfolios"], self.account_ids)
 
+    def fix_ids(self) -> None:
+        """Compute who is who once, in the checkpoint folder; all tables then read that."""
+        self.ids = self.ids.checkpoint()
+        self.account_ids = self.account_ids.checkpoint()
+        self.portfolio_ids = self.portfolio_ids.checkpoint()
+
+    def share_ids(self, other: Landing) -> None:
+        self.ids, self.account_ids = other.ids, other.account_ids
+        self.portfolio_ids = other.portfolio_ids
+
     @cached_property
     def digital_actions(self) -> DataFrame:
         return events.digital_actions(self.sources["activity"], self.ids, self.start, self.end)

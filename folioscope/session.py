@@ -27,14 +27,23 @@ def build_session(name: str = "folioscope", master: str | None = None, **setting
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder that all executors reach, below the one the cluster names.
-
-    Only a local session without the setting gets a temporary folder.
-    """
+def _shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names; only a local session without one gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", "")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors reach")
         root = tempfile.mkdtemp(prefix="folioscope-")
-    return f"{root.rstrip('/')}/folioscope/{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder that all executors reach."""
+    return f"{_shared_root(spark)}/folioscope/{uuid.uuid4().hex}"
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` write to the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(_shared_root(spark))
