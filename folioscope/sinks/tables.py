@@ -36,7 +36,10 @@ def write_table(
             raise ValueError("append needs the name of the load")
         rows = rows.withColumn(LOAD, F.lit(load))
         partition_by = [LOAD, *partition_by]
-    elif mode not in ("replace", "partitions"):
+    elif mode == "partitions":
+        # Few files per partition, and several for one that holds most rows.
+        rows = rows.hint("rebalance", *partition_by)
+    elif mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
     writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
