@@ -38,7 +38,8 @@ class Warehouse:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in schemas.LANDED:
             raise AttributeError(name)
-        return schemas.conform(self.read(name), schemas.LANDED[name])
+        schema = schemas.LANDED[name]
+        return schemas.conform(self.spark.read.schema(schema).parquet(self.path(name)), schema)
 
     def log(self) -> DataFrame:
         return upload_log(self.read("upload_log"))
@@ -74,6 +75,8 @@ class DailyRun:
         self.counts: dict[str, int] = {}
 
     def _write(self, name: str, df: DataFrame, **options) -> None:
+        if name in schemas.LANDED:
+            df = schemas.conform(df, schemas.LANDED[name])
         self.counts[name] = self.counts.get(name, 0) + write_table(
             df, self.warehouse.path(name), **options
         )

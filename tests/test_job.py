@@ -116,5 +116,13 @@ def test_a_run_repeated_after_a_lost_state_adds_nothing(spark, tmp_path):
     assert after == before
 
 
+def test_a_run_without_new_rows_gives_empty_tables(spark, tmp_path):
+    sources = SampleSources(spark, contract.SMOKE_DIR)
+    root = str(tmp_path / "warehouse")
+    counts = run_daily(spark, sources, root, date(2001, 1, 1))
+    assert counts["digital_actions"] == counts["summary_year_month"] == 0
+    assert counts["member_details"] == counts["arketip"] > 0
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
