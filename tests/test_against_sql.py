@@ -19,7 +19,7 @@ SPARK_TYPES = {
     "timestamp_ntz": "TIMESTAMP",
     "date": "DATE",
 }
-QUERIES = contract.queries()
+QUERIES = {name: contract.queries()[name] for name in contract.catalog.QUERIES}
 SQL = contract.oracle_sql()
 
 
@@ -39,7 +39,7 @@ def canonical(value):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
