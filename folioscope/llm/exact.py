@@ -117,7 +117,10 @@ def exact_duplicates(
     groups = named.groupBy("blocks", "name").agg(
         F.max(F.struct("id", "row")).alias("keep"), F.count("*").alias("group_size")
     )
-    return named.join(groups, ["blocks", "name"]).select(
+    # Both sides of the join get a shuffle of its own by this key, so a large group may be split.
+    same = F.struct("blocks", "name").alias("same")
+    groups = groups.select(same, "keep", "group_size")
+    return named.select("*", same).join(groups, "same").select(
         F.col("id").alias(key),
         F.col("keep.id").alias("keep_id"),
         "group_size",
