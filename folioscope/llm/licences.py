@@ -77,7 +77,7 @@ RULES = (
 )
 HINT = re.compile(r"licen[sc]|permi|redistribut|public domain|reserved|free software|version|above copyright|"
                   r"neither the name|software is provided|you may|source code form", re.IGNORECASE)
-SENTENCE = re.compile(r"[^\s.;:!?][^;:!?\n]*?(?=[.;:!?](?:\s|$)|\s*$|\n)")
+SENTENCE = re.compile(r"[^\s.;!?][^;!?\n]*?(?=[.;!?](?:\s|$)|\s*$|\n)")
 GAPS = re.compile(r"[^a-z0-9,]+")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import exact, simhash, toxicity
+from folioscope.llm.common import checkpointed
 
 OWN = ("__id", "__h")
 
@@ -16,22 +17,25 @@ OWN = ("__id", "__h")
 def one_of_each(docs: DataFrame, decided: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that stay; ``decided (id, h, stays)`` has a row per row of ``docs``.
 
-    Rows are known by id and hash of the text.  Where a row is repeated and only
-    some of the repeats stay, one is taken.  Rows with a NULL id cannot be told
-    apart and stay.
+    Rows are known by id and hash of the text; of a row that is repeated one stays
+    at most.  Rows with a NULL id cannot be told apart and stay.
     """
-    leaving = (
+    leaving = checkpointed(
         decided.groupBy("id", "h")
-        .agg(F.count("*").alias("n"), F.sum(F.col("stays").cast("long")).alias("stay"))
-        .filter("stay < n")
+        .agg(F.count("*").alias("n"), F.max(F.col("stays").cast("long")).alias("stay"))
+        .filter("id IS NOT NULL AND stay < n")
         .select(F.col("id").alias(OWN[0]), F.col("h").alias(OWN[1]), "stay")
     )
     marked = docs.select(
         F.struct("*").alias("row"), F.col(key).cast("long").alias(OWN[0]), F.xxhash64(text).alias(OWN[1])
-    ).join(leaving, [*OWN], "left")
-    whole = marked.filter("stay IS NULL").select("row.*")
-    repeated = marked.filter("stay > 0").dropDuplicates([*OWN]).select("row.*")
-    return whole.union(repeated)
+    )
+    whole = marked.join(leaving, [*OWN], "left_anti").select("row.*")
+    repeated = leaving.filter("stay > 0")
+    if repeated.isEmpty():
+        return whole
+    return whole.union(
+        marked.join(repeated, [*OWN], "left_semi").dropDuplicates([*OWN]).select("row.*")
+    )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -50,9 +54,14 @@ def without_copies(docs: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
-    """Of each group of near copies the row with the smallest id."""
-    found = simhash.near_duplicates(docs, words, distance)
-    decided = found.selectExpr(
-        "doc_id AS id", "text_hash AS h", "coalesce(doc_id = component_id, true) AS stays"
+    """Of each group of near copies the row with the smallest id; if rows share it, one of them."""
+    found = checkpointed(simhash.near_duplicates(docs, words, distance))
+    first = (
+        found.filter("doc_id IS NOT NULL")
+        .groupBy("component_id")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    )
+    decided = found.join(first, "component_id", "left").selectExpr(
+        "doc_id AS id", "text_hash AS h", "struct(doc_id, text_hash) <=> first AS stays"
     )
     return one_of_each(docs, decided)
