@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from folioscope import constants as K
 from folioscope.functions import times
@@ -368,6 +369,12 @@ def _default(name: str) -> str:
     return name if name in NO_DEFAULT else f"coalesce({name}, 0) AS {name}"
 
 
+def unmeasured(population: DataFrame, schema: StructType) -> DataFrame:
+    """The matrix before anything was measured; ``schema`` is that of the updates."""
+    nulls = [f"CAST(NULL AS {schema[name].dataType.simpleString()}) AS {name}" for name in FEATURES]
+    return population.selectExpr("customer_id", *nulls)
+
+
 def feature_defaults(updates: DataFrame) -> DataFrame:
     """Fill what was never measured: 0, but no ratio of purchases where there is no action."""
     return updates.selectExpr("customer_id", *[_default(name) for name in FEATURES])

@@ -224,11 +224,12 @@ def table_fingerprint(df: DataFrame, keyword: str) -> DataFrame:
     """A keyed fingerprint of a table that does not depend on row order.
 
     Each row hashes with the keyword; the fingerprint is the number of rows and
-    the sum of the first 60 bits of their hashes.
+    the sums of the parts of their hashes, which together are the whole hash.
     """
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
     digest = F.sha2(F.concat_ws("\x1f", F.lit(keyword), *fields), 256)
-    bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
+    parts = [F.conv(F.substring(digest, at, 8), 16, 10).cast("decimal(38,0)") for at in range(1, 65, 8)]
     return df.agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum(bits).cast("string").alias("fingerprint")
+        F.count(F.lit(1)).alias("row_count"),
+        F.concat_ws("-", *(F.sum(part).cast("string") for part in parts)).alias("fingerprint"),
     )

@@ -254,7 +254,12 @@ FEATURES: dict[str, Query] = {
         f.landed.digital_actions, f.landed.actions, f.landed.member_details
     ),
     "feature_defaults": lambda f: features.feature_defaults(
-        summaries.feature_updates(f.landed, AS_OF)
+        features.unmeasured(
+            features.feature_population(
+                f.landed.digital_actions, f.landed.actions, f.landed.member_details
+            ),
+            summaries.feature_updates(f.landed, AS_OF).schema,
+        )
     ),
     "feature_merge": _feature_merge,
     **{name: _event_feature(name) for name in K.EVENT_FEATURES},

@@ -65,8 +65,10 @@ class DailyRun:
         root: str,
         as_of: date,
         now: datetime,
+        legacy_views: bool = False,
     ):
         self.spark, self.sources = spark, sources
+        self.legacy_views = legacy_views
         self.warehouse = Warehouse(spark, root)
         self.as_of, self.now = as_of, now
         self.state_path = self.warehouse.path("state")
@@ -94,12 +96,14 @@ class DailyRun:
         shared = members.id_collisions(new.ids)
         if not shared.isEmpty():
             raise ValueError("a kept real id equals another member's random id")
-        # Only the views of the newest window are kept, as all later steps expect.
-        self._write("fund_actions", new.fund_actions)
         for name in REPLACED:
             self._write(name, getattr(new, name))
         for name in ("digital_actions", "daily_outstandings"):
             self._land_new(name, getattr(new, name))
+        if self.legacy_views:
+            self._write("fund_actions", new.fund_actions)
+        else:
+            self._land_new("fund_actions", new.fund_actions)
         self._land_new("actions", new.window_actions)
         self._write("actions", new.snapshot_actions, mode="append", load=SNAPSHOT)
         # A month is complete only from its first day on, whatever the window.
@@ -151,6 +155,8 @@ def run_daily(
     root: str,
     as_of: date,
     now: datetime | None = None,
+    legacy_views: bool = False,
 ) -> dict[str, int]:
+    """One run; ``legacy_views`` keeps only the newest window's fund views."""
     now = now or datetime.combine(as_of, datetime.min.time())
-    return DailyRun(spark, sources, root, as_of, now).run()
+    return DailyRun(spark, sources, root, as_of, now, legacy_views).run()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope import constants as K
@@ -47,7 +47,16 @@ def write_table(
     if mode != "replace" and not restart:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    return counted.get["rows"]
+    written = counted.get["rows"]
+    if mode == "append" and not written:
+        _drop_load(df.sparkSession, path, load)
+    return written
+
+
+def _drop_load(spark: SparkSession, path: str, load: str) -> None:
+    """Remove a load's folder: overwriting it with no rows leaves the old ones."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{LOAD}={load}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, **options: str) -> None:

@@ -78,17 +78,18 @@ SELECT c_custkey AS serno, CASE WHEN c_custkey % 20 = 19 THEN 'P' ELSE 'A' END A
  CASE WHEN c_custkey % 5 = 0 THEN 'pic' END AS profile_picture FROM {customer}
 """,
     "serno_mapping": """
-SELECT c_custkey AS actual_serno, 5000000 + (c_custkey * 7919 + 13) % 1000003 AS random_serno
+SELECT c_custkey AS actual_serno, 5000000000000 + (c_custkey * 7919 + 13) % 1000000007 AS random_serno
 FROM {customer} WHERE c_custkey % 50 <> 49
 """,
     "funds": """
-SELECT concat('F', lpad(CAST(p_partkey AS STRING), 2, '0')) AS code, 1 + p_size % 7 AS risk_value, p_brand AS category,
- CASE WHEN p_partkey < 10 OR p_type = 'ECONOMY' THEN 'Katılım' WHEN p_type = 'PROMO' THEN 'Otonom Portföy' ELSE p_type END AS asset_class
-FROM {part} WHERE p_partkey < 100
+SELECT concat('F', lpad(CAST(k AS STRING), 2, '0')) AS code, CAST(1 + sizes % 7 AS INT) AS risk_value, category,
+ CASE WHEN k < 10 OR type = 'ECONOMY' THEN 'Katılım' WHEN type = 'PROMO' THEN 'Otonom Portföy' ELSE type END AS asset_class
+FROM (SELECT p_partkey % 100 AS k, SUM(p_size) AS sizes, MIN(p_brand) AS category, MIN_BY(p_type, p_partkey) AS type
+ FROM {part} GROUP BY 1) p
 """,
     "fund_lists": """
-SELECT DATE '2024-01-01' AS day, concat('F', lpad(CAST(p_partkey AS STRING), 2, '0')) AS fund_code,
- CASE WHEN p_size > 40 THEN 'Popular' ELSE 'New' END AS list_type FROM {part} WHERE p_partkey < 100
+SELECT DATE '2024-01-01' + CAST(floor(p_partkey / 100) % 5 AS INT) AS day, concat('F', lpad(CAST(p_partkey % 100 AS STRING), 2, '0')) AS fund_code,
+ CASE WHEN (p_partkey % 100) % 5 = 0 AND p_size > 10 THEN 'Popular' ELSE 'New' END AS list_type FROM {part}
 """,
     "activity": """
 SELECT event_id, member_serno, {pick_view} AS view_name, {pick_action} AS activity,
@@ -98,12 +99,12 @@ SELECT event_id, member_serno, {pick_view} AS view_name, {pick_action} AS activi
 """,
     "accounts": """
 SELECT c_custkey AS serno, c_custkey AS member_serno, 'A' AS status FROM {customer}
- UNION ALL SELECT c_custkey + 1000000, c_custkey, 'A' FROM {customer} WHERE c_custkey % 10 = 0
+ UNION ALL SELECT c_custkey + 1000000000000, c_custkey, 'A' FROM {customer} WHERE c_custkey % 10 = 0
 """,
     "portfolios": """
 SELECT c_custkey AS serno, c_custkey AS account_serno, 'movable' AS type, DATE '2023-03-01' AS create_date FROM {customer}
- UNION ALL SELECT c_custkey + 2000000, c_custkey, 'movable', DATE '2023-06-01' FROM {customer} WHERE c_custkey % 4 = 0
- UNION ALL SELECT c_custkey + 3000000, c_custkey + 1000000, 'fixed', DATE '2023-07-01' FROM {customer} WHERE c_custkey % 10 = 0
+ UNION ALL SELECT c_custkey + 2000000000000, c_custkey, 'movable', DATE '2023-06-01' FROM {customer} WHERE c_custkey % 4 = 0
+ UNION ALL SELECT c_custkey + 3000000000000, c_custkey + 1000000000000, 'fixed', DATE '2023-07-01' FROM {customer} WHERE c_custkey % 10 = 0
 """,
     "transactions": """
 SELECT o_orderkey AS serno, CAST(floor(o_custkey / 10) AS BIGINT) AS account_serno,
@@ -117,10 +118,10 @@ SELECT l_orderkey * 10 + l_linenumber AS serno, CAST(floor(o_custkey / 10) AS BI
  CASE WHEN l_returnflag = 'R' THEN 'C' ELSE 'E' END AS status, CASE WHEN l_linestatus = 'O' THEN 'U' ELSE 'S' END AS cancelled_by,
  {ts} '2023-11-01 00:00:00' + ((l_orderkey * 41) % 131040) * INTERVAL '1' MINUTE AS cancel_time,
  CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, concat('F', lpad(CAST(l_partkey % 100 AS STRING), 2, '0')) AS fund_code
- FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_linenumber = 1
+ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """,
     "eod_holdings": """
-SELECT CAST(floor(o_custkey / 10) AS BIGINT) + CASE WHEN l_linenumber % 2 = 0 AND CAST(floor(o_custkey / 10) AS BIGINT) % 4 = 0 THEN 2000000 ELSE 0 END AS portfolio_serno,
+SELECT CAST(floor(o_custkey / 10) AS BIGINT) + CASE WHEN l_linenumber % 2 = 0 AND CAST(floor(o_custkey / 10) AS BIGINT) % 4 = 0 THEN 2000000000000 ELSE 0 END AS portfolio_serno,
  concat('F', lpad(CAST(l_partkey % (CASE WHEN CAST(floor(o_custkey / 10) AS BIGINT) % 10 = 3 THEN 10 ELSE 20 END) AS STRING), 2, '0')) AS fund_code, 'TRY' AS currency,
  DATE '2023-11-01' + CAST((l_orderkey * 3 + l_suppkey) % 92 AS INT) AS day, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS size
  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4
@@ -131,8 +132,8 @@ SELECT CAST(floor(o_custkey / 10) AS BIGINT) AS account_serno, DATE '2023-11-01'
  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3
 """,
     "recorded_ibans": """
-SELECT CAST(floor(c_custkey / 10) AS BIGINT) AS member_serno, CASE WHEN c_custkey % 2 = 0 THEN 'A' ELSE 'P' END AS status,
- DATE '2023-05-01' + CAST(c_custkey % 200 AS INT) AS last_used_date FROM {customer} WHERE c_custkey % 10 <= (c_custkey / 10) % 3
+SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(floor(c_custkey / 10) AS BIGINT) ELSE c_custkey END AS member_serno, CASE WHEN c_custkey % 2 = 0 THEN 'A' ELSE 'P' END AS status,
+ DATE '2023-05-01' + CAST(c_custkey % 200 AS INT) AS last_used_date FROM {customer}
 """,
     "survey_definitions": """
 SELECT CAST(1 AS BIGINT) AS serno, 'Investor-Profile-Survey' AS name UNION ALL SELECT CAST(2 AS BIGINT), 'Other-Survey'

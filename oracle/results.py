@@ -357,7 +357,8 @@ def _features() -> dict[str, str]:
     return {
         **{name: f"SELECT * FROM f_{name}" for name in FEATURES},
         "feature_population": "SELECT customer_id FROM feature_population",
-        "feature_defaults": f"SELECT customer_id, {_filled(str)} FROM feature_updates",
+        "feature_defaults": f"""SELECT p.customer_id, {_filled(lambda name: f"u.{name}")}
+ FROM feature_population p LEFT JOIN feature_updates u ON FALSE""",
         "feature_merge": f"""SELECT coalesce(u.customer_id, o.customer_id) AS customer_id, {_filled(either)}
  FROM feature_updates_new u FULL JOIN feature_updates_old o ON o.customer_id = u.customer_id""",
         "arketip": f"SELECT customer_id, {_filled(str)} FROM feature_updates",
@@ -376,6 +377,10 @@ def _metrics() -> dict[str, str]:
     hours = _months("actions", TS, HOUR_COUNTS)
     fields = ["customer_id", "action_type", "fund_code", TS]
     row = " || chr(31) || ".join([f"'{KEYWORD}'", *(f"CAST({f} AS VARCHAR)" for f in fields)])
+    digest_sums = ", ".join(
+        f"CAST(sum(CAST(CAST('0x' || substring(digest, {at}, 8) AS BIGINT) AS HUGEINT)) AS VARCHAR)"
+        for at in range(1, 65, 8)
+    )
 
     def months(n: str, name: str, body: str) -> str:
         return _upper(body, **{n: name})
@@ -426,8 +431,8 @@ def _metrics() -> dict[str, str]:
         "average_outstanding_pd": months(
             "average_outstanding", "AVERAGE_OUTSTANDING", "SELECT * FROM ym_average_outstanding"
         ),
-        "table_fingerprint": f"""SELECT count(*) AS row_count,
- CAST(sum(CAST(CAST('0x' || left(sha256({row}), 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS fingerprint FROM fund_actions""",
+        "table_fingerprint": f"SELECT count(*) AS row_count, concat_ws('-', {digest_sums}) AS fingerprint "
+        f"FROM (SELECT sha256({row}) AS digest FROM fund_actions) d",
     }
 
 

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 
 import __spark_entry__ as contract
-from folioscope.plans.daily import Warehouse, run_daily
+from folioscope.plans.daily import DailyRun, Warehouse, run_daily
 from folioscope.plans.landing import Landing
 from folioscope.plans import summaries
 from folioscope.session import shared_dir
@@ -83,13 +83,12 @@ def test_two_daily_runs_equal_one_plan_over_both_windows(spark, tmp_path):
 
     whole = Landing(sources, date(2000, 1, 1), last, last)
     for name in ("digital_actions", "daily_outstandings", "actions", "monthly_outstandings",
-                 "monthly_outstanding_funds", "member_details", "bias_results"):
+                 "monthly_outstanding_funds", "member_details", "bias_results", "fund_actions"):
         expected = getattr(whole, name)
         assert rows(getattr(warehouse, name), *expected.columns) == rows(expected), name
 
-    # Fund views are those of the newest window alone.
     newest = Landing(sources, date(2024, 1, 16), last, last)
-    assert rows(warehouse.fund_actions) == rows(newest.fund_actions)
+    assert whole.fund_actions.count() > newest.fund_actions.count() > 0
 
     fund = summaries.summary_year_month_fund(warehouse)
     assert rows(warehouse.read("summary_year_month_fund_based")) == rows(fund)
@@ -107,8 +106,6 @@ def test_a_run_repeated_after_a_lost_state_adds_nothing(spark, tmp_path):
     first = run_daily(spark, sources, root, date(2024, 1, 31))
     before = {name: rows(Warehouse(spark, root).read(name)) for name in ("actions", "digital_actions")}
     # The state was never read back: the window is the same again.
-    from folioscope.plans.daily import DailyRun
-
     again = DailyRun(spark, sources, root, date(2024, 1, 31), datetime(2024, 1, 31))
     again.window = job_state.next_window({"latest": "2000-01-01", "initial_run": False}, date(2024, 1, 31))
     assert again.run() == first
@@ -116,6 +113,24 @@ def test_a_run_repeated_after_a_lost_state_adds_nothing(spark, tmp_path):
     assert after == before
 
 
+def test_an_empty_load_replaces_an_earlier_one(spark, tmp_path):
+    path = str(tmp_path / "table")
+    two = spark.createDataFrame([(1,), (2,)], "a int")
+    assert write_table(two, path, mode="append", load="one") == 2
+    assert write_table(two, path, mode="append", load="two") == 2
+    assert write_table(two.limit(0), path, mode="append", load="one") == 0
+    assert rows(spark.read.parquet(path), "a", "load") == rows(two.selectExpr("a", "'two' AS load"))
+
+
+def test_legacy_runs_keep_the_newest_fund_views(spark, tmp_path):
+    sources = SampleSources(spark, contract.SMOKE_DIR)
+    root, last = str(tmp_path / "warehouse"), date(2024, 1, 31)
+    for as_of in (date(2024, 1, 16), last):
+        DailyRun(spark, sources, root, as_of, datetime(2024, 1, 31), legacy_views=True).run()
+    newest = Landing(sources, date(2024, 1, 16), last, last)
+    assert rows(Warehouse(spark, root).fund_actions) == rows(newest.fund_actions)
+
+
 def test_a_run_without_new_rows_gives_empty_tables(spark, tmp_path):
     sources = SampleSources(spark, contract.SMOKE_DIR)
     root = str(tmp_path / "warehouse")
