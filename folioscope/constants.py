@@ -35,7 +35,6 @@ FUND_VIEWS = ("fundsList", "fundMarket", "fundDetails")
 # Text forms of times.
 DISPLAY_PATTERN = "HH.mm-dd.MM.yy"
 DISPLAY_PATTERN_SECONDS = "HH.mm.ss-dd.MM.yy"
-DISPLAY_REGEX = r"^[0-9]{2}\.[0-9]{2}-[0-9]{2}\.[0-9]{2}\.[0-9]{2}$"
 NO_TIME = "N/A"
 YEAR_MONTH_REGEX = r"^[0-9]{4}/[0-9]{2}$"
 

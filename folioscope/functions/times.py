@@ -59,10 +59,6 @@ def with_year_month(df: DataFrame, at: Column) -> DataFrame:
     return df.filter(at.isNotNull()).withColumns({"year": F.year(at), "month": F.month(at)})
 
 
-def is_night(at: Column) -> Column:
-    return (F.hour(at) >= 22) | (F.hour(at) < 6)
-
-
 def hour_bucket(at: Column) -> Column:
     hour = F.hour(at)
     bucket = F.lit(K.NIGHT)

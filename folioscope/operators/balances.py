@@ -53,7 +53,8 @@ def monthly_outstandings(
     an aggregate that joins back on member *and* day, so a member with very many
     balances never comes together in one task.
     """
-    balances = _known(_in_currency(eod_accounts, start, end, closed), as_of, legacy).join(account_ids, "account_serno").withColumn(
+    known = _known(_in_currency(eod_accounts, start, end, closed), as_of, legacy)
+    balances = known.join(account_ids, "account_serno").withColumn(
         "month_end", _month_end(as_of, legacy)
     )
     last = balances.groupBy("member_serno", "month_end").agg(F.max("day").alias("day"))

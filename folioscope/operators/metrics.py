@@ -6,12 +6,12 @@ They differ from the summaries on purpose; each says how.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioscope import constants as K
 from folioscope.functions import times
 from folioscope.functions.numbers import float_ratio, percent_text, ratio, round_even_2
-from folioscope.functions.ordered import previous_value
 
 KEYS = ["CUST_ID", "YEAR", "MONTH"]
 BUCKETS = (*K.HOUR_BUCKETS, K.NIGHT)
@@ -45,15 +45,15 @@ def _risk_of(df: DataFrame, funds: DataFrame) -> DataFrame:
 def activity_score_scaled(actions: DataFrame) -> DataFrame:
     """Monthly action counts scaled to 0..100 over the whole table; NaN if all are equal.
 
-    Lowest and highest count are a scalar subquery, so no window or join sees
-    the whole table.
+    Lowest and highest count are one scalar subquery, so no window or join sees
+    the whole table and the log is read for both at once.
     """
     counts = _timed(actions).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    lowest = counts.agg(F.min("n")).scalar()
-    highest = counts.agg(F.max("n")).scalar()
+    ends = counts.agg(F.struct(F.min("n").alias("low"), F.max("n").alias("high"))).scalar()
+    lowest, highest = F.col("ends.low"), F.col("ends.high")
     share = ratio(F.col("n") - lowest, highest - lowest) * 100
     score = F.when(highest == lowest, F.lit(float("nan"))).otherwise(round_even_2(share))
-    return counts.select(*KEYS, score.alias("ACTIVITY_SCORE"))
+    return counts.select(*KEYS, "n", ends.alias("ends")).select(*KEYS, score.alias("ACTIVITY_SCORE"))
 
 
 def hour_bucket_pct(actions: DataFrame, fill_missing: bool = False) -> DataFrame:
@@ -147,9 +147,9 @@ def fund_transaction_volume_pd(actions: DataFrame) -> DataFrame:
 def interested_fund_count_pd(fund_actions: DataFrame) -> DataFrame:
     """Openings per month; the column named CUST_ID holds the action type."""
     opened = _views(fund_actions).filter(F.col("action_type") == "open")
-    return opened.groupBy("YEAR", "MONTH", F.col("action_type").alias("ID")).agg(
+    return opened.groupBy("YEAR", "MONTH", "action_type").agg(
         F.count("fund_code").alias("INTERESTED_FUND_COUNT")
-    ).withColumnRenamed("ID", "CUST_ID")
+    ).withColumnRenamed("action_type", "CUST_ID")
 
 
 def interested_fund_risk_pd(fund_actions: DataFrame, funds: DataFrame) -> DataFrame:
@@ -167,23 +167,28 @@ def outstanding_trend_diff(daily: DataFrame) -> DataFrame:
     """-1, 0 or 1: whether the balance fell or rose over the month, day by day.
 
     The daily changes are added up; a change from or to a missing balance
-    counts as none.  Rows of one day follow in order of their balances.
+    counts as none.  Rows of one day follow in order of their balances, missing
+    ones first: so a day adds the distance from its lowest to its highest, and
+    joins the day before only if none is missing.  One row per day, 31 a month
+    at most, is all that the window sees.
     """
-    at = times.as_day(daily, "date")
-    rows = _dated(daily, at).select(
-        *KEYS, at.alias("date"), "account_volume", "fund_volume"
-    )
-    before = previous_value(
-        rows,
-        KEYS,
-        ["date", "account_volume", "fund_volume"],
-        F.col("date"),
-        "account_volume",
-        "__before",
-    )
-    change = F.coalesce(F.col("account_volume") - F.col("__before"), F.lit(0))
-    return before.groupBy(*KEYS).agg(
-        F.signum(F.sum(change)).cast("int").alias("OUTSTANDING_TREND")
+    at, volume = times.as_day(daily, "date"), F.col("account_volume")
+    by_day = (
+        _dated(daily, at)
+        .groupBy(*KEYS, at.alias("day"))
+        .agg(
+            F.min(volume).alias("low"),
+            F.max(volume).alias("high"),
+            F.bool_or(volume.isNull()).alias("has_missing"),
+        )
+    )
+    before = F.lag("high").over(W.partitionBy(*KEYS).orderBy("day"))
+    step = F.when(~F.col("has_missing"), F.col("low") - before)
+    change = F.coalesce(step, F.lit(0)) + F.coalesce(F.col("high") - F.col("low"), F.lit(0))
+    return (
+        by_day.select(*KEYS, change.alias("change"))
+        .groupBy(*KEYS)
+        .agg(F.signum(F.sum("change")).cast("int").alias("OUTSTANDING_TREND"))
     )
 
 

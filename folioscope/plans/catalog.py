@@ -35,7 +35,6 @@ AS_OF, START, END = date(2024, 1, 31), date(2023, 11, 1), date(2024, 2, 1)
 MID_AS_OF, MID = date(2024, 1, 15), date(2024, 1, 16)
 SEED = 42
 KEYWORD = "folioscope"
-LOG_COLUMNS = ["log_date", "table_name", "row_count", "logged_at"]
 
 
 class Fixture:

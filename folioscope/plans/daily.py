@@ -23,6 +23,13 @@ BY_MONTH = ("monthly_outstandings", "monthly_outstanding_funds")
 SNAPSHOT = "snapshot"
 
 
+def months_between(start: date, end: date) -> list[str]:
+    """The months that days from ``start`` up to but not including ``end`` lie in."""
+    first = start.year * 12 + start.month - 1
+    last = end.year * 12 + end.month - (1 if end.day > 1 else 2)
+    return [f"{month // 12}/{month % 12 + 1:02d}" for month in range(first, last + 1)]
+
+
 class Warehouse:
     """Landed and result tables as parquet folders below ``root``."""
 
@@ -116,6 +123,7 @@ class DailyRun:
                 mode="partitions",
                 partition_by=["year_month"],
                 restart=self.window.initial,
+                covered=() if self.window.initial else months_between(start, end),
             )
 
     def summarise(self) -> None:

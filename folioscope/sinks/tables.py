@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,16 +21,19 @@ def write_table(
     load: str | None = None,
     partition_by: Sequence[str] = (),
     restart: bool = False,
+    covered: Sequence[str] = (),
 ) -> int:
     """Write ``df`` and return the number of rows, counted during the write.
 
     ``replace`` writes the whole table anew.  ``append`` adds a partition
     ``load=<name>`` and overwrites just that one, so a run that is repeated
     after a failure adds nothing twice.  ``partitions`` overwrites the
-    partitions of ``partition_by`` that occur in ``df``.  ``restart`` drops what
-    the table holds in any mode.
+    partitions of ``partition_by`` that occur in ``df``; of those named in
+    ``covered`` (values of its first column, few) any without rows is removed.
+    ``restart`` drops what the table holds in any mode.
     """
     counted = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows")]
     rows = df
     if mode == "append":
         if load is None:
@@ -39,23 +43,29 @@ def write_table(
     elif mode == "partitions":
         # Few files per partition, and several for one that holds most rows.
         rows = rows.hint("rebalance", *partition_by)
+        column = F.col(partition_by[0])
+        metrics += [F.count_if(column == value).alias(f"in {value}") for value in covered]
     elif mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
-    writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = rows.observe(counted, *metrics).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if mode != "replace" and not restart:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    written = counted.get["rows"]
-    if mode == "append" and not written:
-        _drop_load(df.sparkSession, path, load)
-    return written
-
-
-def _drop_load(spark: SparkSession, path: str, load: str) -> None:
-    """Remove a load's folder: overwriting it with no rows leaves the old ones."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{LOAD}={load}")
+    found = counted.get
+    if mode == "append" and not found["rows"]:
+        _drop_partition(df.sparkSession, path, LOAD, load)
+    if mode == "partitions":
+        for value in covered:
+            if not found[f"in {value}"]:
+                _drop_partition(df.sparkSession, path, partition_by[0], value)
+    return found["rows"]
+
+
+def _drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Remove a partition's folder: overwriting it with no rows leaves the old ones."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{column}={quote(value, safe='')}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

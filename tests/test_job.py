@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 
 import __spark_entry__ as contract
-from folioscope.plans.daily import DailyRun, Warehouse, run_daily
+from folioscope.plans.daily import DailyRun, Warehouse, months_between, run_daily
 from folioscope.plans.landing import Landing
 from folioscope.plans import summaries
 from folioscope.session import shared_dir
@@ -122,6 +122,24 @@ def test_an_empty_load_replaces_an_earlier_one(spark, tmp_path):
     assert rows(spark.read.parquet(path), "a", "load") == rows(two.selectExpr("a", "'two' AS load"))
 
 
+def test_a_covered_month_without_rows_is_removed(spark, tmp_path):
+    path = str(tmp_path / "table")
+    month = spark.createDataFrame([(1, "2023/12"), (2, "2024/01"), (3, "2024/02")], "a int, year_month string")
+    by_month = {"mode": "partitions", "partition_by": ["year_month"]}
+    assert write_table(month, path, **by_month) == 3
+    again = month.filter("a = 3")
+    assert write_table(again, path, covered=["2024/01", "2024/02"], **by_month) == 1
+    assert rows(spark.read.parquet(path), "a", "year_month") == [(1, "2023/12"), (3, "2024/02")]
+    assert write_table(again.limit(0), path, covered=["2024/02"], **by_month) == 0
+    assert rows(spark.read.parquet(path), "a", "year_month") == [(1, "2023/12")]
+
+
+def test_months_of_a_window():
+    assert months_between(date(2023, 11, 1), date(2024, 2, 1)) == ["2023/11", "2023/12", "2024/01"]
+    assert months_between(date(2024, 1, 1), date(2024, 1, 2)) == ["2024/01"]
+    assert months_between(date(2024, 1, 1), date(2024, 1, 1)) == []
+
+
 def test_legacy_runs_keep_the_newest_fund_views(spark, tmp_path):
     sources = SampleSources(spark, contract.SMOKE_DIR)
     root, last = str(tmp_path / "warehouse"), date(2024, 1, 31)

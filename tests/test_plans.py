@@ -60,7 +60,7 @@ def test_no_join_is_forced_to_broadcast(shuffled):
 
 def test_histories_are_shuffled_in_chunks(shuffled):
     """No shuffle brings a customer's events together: each also hashes by chunk or salt."""
-    for name in ("event_prev", "event_groups", "outstanding_trend_diff"):
+    for name in ("event_prev", "event_groups"):
         assert any("__chunk" in keys for keys in exchanges(shuffled(name)))
     assert {"customer_id", "__salt"} in exchanges(shuffled("event_groups"))
     windows = re.findall(r"Window \[sum\(is_new_group[^\n]*\], \[([^\]]*)\], \[", shuffled("event_groups"))
@@ -68,6 +68,19 @@ def test_histories_are_shuffled_in_chunks(shuffled):
     assert {"customer_id", "seq", "__chunk"} in exchanges(shuffled("event_groups"))
 
 
+def test_daily_trend_reads_the_balances_once_and_windows_over_days(shuffled):
+    plan = shuffled("outstanding_trend_diff")
+    assert {"CUST_ID", "YEAR", "MONTH"} in exchanges(plan)
+    assert len(re.findall(r"HashAggregate[^\n]*partial_min\(account_volume", plan)) == 1
+    assert "__chunk" not in plan
+
+
+def test_activity_score_has_one_scalar(shuffled):
+    """Lowest and highest in one subquery, that all other places refer to."""
+    plan = shuffled("activity_score_scaled")
+    assert len(set(re.findall(r"scalar-subquery#(\d+)|[Ss]ubquery#(\d+)", plan))) == 1
+
+
 def test_paths_are_aggregated_in_spread_groups(shuffled):
     """The join by customer must not decide the partitions of what follows."""
     plan = shuffled("out_path_4_events")
