@@ -41,7 +41,8 @@ def one_of_each(docs: DataFrame, decided: DataFrame, key: str = "doc_id", text:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents whose score is under 0.5; the model learns from the labelled ones."""
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), "text")
+    return toxicity.score(whole, model).filter("predicted = 0").select("row.*")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:

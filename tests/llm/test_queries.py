@@ -56,3 +56,6 @@ def test_stages_keep_one_row_of_each(spark):
     assert stages.without_near_copies(docs.limit(0)).count() == 0
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
     assert stages.without_toxic(docs, labels).count() == 6
+    clashing = docs.selectExpr("*", "7 AS predicted", "'x' AS Score", "0 AS row")
+    assert stages.without_toxic(clashing, labels).exceptAll(clashing).isEmpty()
+    assert stages.without_toxic(clashing, labels).columns == clashing.columns
