@@ -32,7 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from folioscope.llm.common import checkpointed
+
 FIT_ROWS = 20_000
+FIT_PARTS = 32  # tasks that learn from them
 STEMS = 4_000  # learned stems at most: the strongest
 LEAST_DOCS = 3
 LEAST_ODDS = 8.0
@@ -279,8 +282,9 @@ def fit(
 ) -> ToxicityModel:
     """Learn stems and weights from labelled rows that are not held out.
 
-    Of several labels of one document the larger holds; rows with NULL in key or
-    label teach nothing.  Without labels of both kinds the score is a constant.
+    Of several labels of one document the larger holds, of several texts the
+    smallest; rows with NULL in key or label teach nothing.  The documents are
+    read once.  Without labels of both kinds the score is a constant.
     """
     usable = (
         labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("toxic"))
@@ -294,11 +298,14 @@ def fit(
     chosen = usable.filter(f"{mixed} < {int(share * 1000000007)}").withColumn(
         "fold", F.expr(f"cast({mixed} % 2 AS int)")
     )
-    # The sample is bounded by `rows`: 20,000 keys of 16 bytes.
-    sample = (
+    # The sample is bounded by `rows`: 20,000 keys of 16 bytes, and a text for each.
+    sample = checkpointed(
         docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
         .join(F.broadcast(chosen), "id")
-        .select("fold", F.col("toxic").cast("int").alias("toxic"), "text")
+        .groupBy("id", "fold", "toxic")
+        .agg(F.min("text").alias("text"))
+        .select("fold", "toxic", "text")
+        .repartition(FIT_PARTS)
     )
     by_label = {(r["fold"], r["toxic"]): r["count"] for r in sample.groupBy("fold", "toxic").count().collect()}
     toxic = [by_label.get((f, 1), 0) for f in (0, 1)]

@@ -361,6 +361,9 @@ def test_toxicity(spark, empty):
     truth = {k: toxic for k, _, toxic in table} | {9999: 0}
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.97
     assert len(found) == 602 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
+    again = docs.select("doc_id", "text").union(docs.selectExpr("doc_id", "concat(text, ' zorglou') AS text"))
+    repeated = toxicity.fit(again, labels)
+    assert repeated.stems == model.stems and repeated.weights == pytest.approx(model.weights)
     none = toxicity.fit(empty, labels.filter("doc_id < 0"))
     assert toxicity.score(docs, none).columns == ["doc_id", "text", "score", "predicted"]
     assert toxicity.score(empty, none).count() == 0
