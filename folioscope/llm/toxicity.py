@@ -235,8 +235,25 @@ def _counted(rows: DataFrame) -> DataFrame:
     )
 
 
+def _own(entries: pd.Series, count: pd.Series) -> pd.Series:
+    """For each beginning, the place of the longer entry (or itself as a word) that most of its texts have."""
+    heads = {entry: place for place, entry in entries.items() if not entry.startswith("=")}
+    longer: dict[int, int] = {}
+    for place, entry in entries.items():
+        word = entry.removeprefix("=")
+        for size in range(min(PREFIXES), len(word) + (entry != word)):
+            head = heads.get(word[:size])
+            if head is not None and (head not in longer or count[place] > count[longer[head]]):
+                longer[head] = place
+    return pd.Series(longer, dtype="int64")
+
+
 def _stems(counts: pd.DataFrame, toxic_docs: int, clean_docs: int, folds: tuple[int, ...]) -> dict[str, float]:
-    """Entries that mark toxic texts, weighted by the logarithm of their odds."""
+    """Entries that mark toxic texts, weighted by the logarithm of their odds.
+
+    A beginning must do so also in the texts that its commonest longer entry does
+    not explain; so one bad word leaves no harmless beginnings behind.
+    """
     stems = {"=" + word: 1.0 for word in INSULTS}
     if not len(counts) or not toxic_docs or not clean_docs:
         return stems
@@ -244,6 +261,11 @@ def _stems(counts: pd.DataFrame, toxic_docs: int, clean_docs: int, folds: tuple[
     clean = sum(counts[f"clean{f}"] for f in folds)
     odds = (toxic / toxic_docs) / ((clean + 0.5) / (clean_docs + 1))
     good = (toxic >= LEAST_DOCS) & (odds >= LEAST_ODDS)
+    longer = _own(counts["entry"], toxic)
+    rest_toxic = toxic[longer.index] - toxic[longer].to_numpy()
+    rest_clean = clean[longer.index] - clean[longer].to_numpy()
+    rest_odds = (rest_toxic / toxic_docs) / ((rest_clean + 0.5) / (clean_docs + 1))
+    good[longer.index] &= (rest_toxic >= LEAST_DOCS) & (rest_odds >= LEAST_ODDS)
     strength = (toxic[good] * np.log(odds[good])).sort_values(ascending=False, kind="stable")
     for place in strength.index[:STEMS]:
         stems[counts["entry"][place]] = float(np.log(odds[place]))

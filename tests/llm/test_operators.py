@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 import tiktoken
@@ -342,6 +343,17 @@ def test_chat(spark):
     assert chat.read_back(chat.windows(df.filter("turn > 999"))).count() == 0
 
 
+def test_beginnings_must_mark_more_than_their_commonest_longer_entry():
+    """Texts with "loser" do not make "los" hostile; a stem with many endings stays."""
+    endings = [f"achlich{tail}" for tail in ("a", "b", "c", "d", "e")]
+    seen = [("=loser", 20, 0), ("los", 21, 15), ("lose", 20, 0), ("achlich", 20, 1)]
+    seen += [("=" + word, 4, 0) for word in endings]
+    counts = pd.DataFrame(seen, columns=["entry", "toxic0", "clean0"])
+    stems = toxicity._stems(counts, 100, 1000, (0,))
+    assert {"=loser", "achlich", *("=" + word for word in endings)} <= stems.keys()
+    assert not {"los", "lose"} & stems.keys()
+
+
 def test_toxicity(spark, empty):
     rng = np.random.default_rng(6)
     stems = ["zorgl", "vrakk"]
