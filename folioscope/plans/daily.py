@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,16 +51,17 @@ class Warehouse:
         return upload_log(self.read("upload_log"))
 
     def previous_matrix(self, as_of: date) -> DataFrame | None:
-        """The newest feature matrix of an earlier day."""
-        try:
-            runs = self.read("arketip")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        earlier = runs.filter(F.col("run_date") < F.lit(as_of))
-        newest = earlier.agg(F.max("run_date")).first()[0]
-        return None if newest is None else earlier.filter(F.col("run_date") == F.lit(newest))
+        """The newest feature matrix of an earlier day; days are read off folder names, not files."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("arketip"))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return None
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        days = [name.removeprefix("run_date=") for name in names if name.startswith("run_date=")]
+        earlier = [day for day in days if day < str(as_of)]
+        if not earlier:
+            return None
+        return self.read("arketip").filter(F.col("run_date") == F.lit(max(earlier)).cast("date"))
 
 
 class DailyRun:
