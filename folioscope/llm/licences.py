@@ -1,10 +1,12 @@
 """Licence scan by recognised sentences.
 
-A text is cut into sentences, line by line and also across lines, for notices
-come wrapped or one to a line.  Each sentence is normalised and looked up in a
-table of known licence sentences; the identifiers found, in the order of the
-text, are then matched against ordered rules, the longest first.  A rule uses up
-its identifiers, so the version sentence of one licence does not serve another.
+Known licence sentences are looked up where they stand in the text, whatever
+stands between their words: blanks, line ends, comment marks, punctuation.  So a
+notice is found wrapped, unwrapped or with its sentences run together.  Sentences
+that are also ordinary speech must begin and end where a sentence or line does.
+The identifiers found, in the order of the text, are then matched against ordered
+rules, the longest first.  A rule uses up its identifiers, so the version sentence
+of one licence does not serve another.
 """
 
 from __future__ import annotations
@@ -17,42 +19,47 @@ from pyspark.sql import DataFrame
 from folioscope.llm.common import per_row
 
 SPAN = ("start", "end", "sentence")
-# Identifiers and patterns of well-known licence sentences, normalised.
+# Identifiers and patterns of well-known licence sentences.  A blank stands for all that
+# can be between two words, '~' for the same within a line and sentence, '_' within a paragraph.
 SENTENCES = {
     "MIT_NAME": r"(?:released|licensed|distributed|available) under (?:the )?(?:terms of the )?mit license",
     "MIT_GRANT": r"permission is hereby granted free of charge to any person obtaining a copy of this "
-    r"software and associated documentation files.*",
+    r"software and associated documentation files",
     "MIT_NOTICE": r"the above copyright notice and this permission notice shall be included in all copies "
     r"or substantial portions of the software",
-    "AS_IS": r"(?:the|this) software is provided as is.*",
-    "APACHE_2": r"(?:this (?:work|file|software) is )?licensed under the apache license,? version 2 0"
+    "AS_IS": r"(?:the|this) software is provided as is",
+    "APACHE_2": r"(?:this (?:work|file|software) is )?licensed under the apache license version 2 0"
     r"(?: the license)?",
-    "APACHE_COPY": r"you may obtain a copy of the license at.*",
+    "APACHE_COPY": r"you may obtain a copy of the license at",
     "APACHE_COMPLY": r"you may not use this file except in compliance with the license",
-    "GPL_3_NAME": r"(?:this (?:work|program|file|software) is )?licensed under the gnu general public license,?"
+    "GPL_3_NAME": r"(?:this (?:work|program|file|software) is )?licensed under the gnu general public license"
     r"(?: version 3| v3)",
-    "GPL_2_NAME": r"(?:this (?:work|program|file|software) is )?licensed under the gnu general public license,?"
+    "GPL_2_NAME": r"(?:this (?:work|program|file|software) is )?licensed under the gnu general public license"
     r"(?: version 2| v2)",
     "GPL_FREE": r"this program is free software you can redistribute it and or modify it under the terms of "
-    r"the gnu general public license as published by the free software foundation.*",
+    r"the gnu general public license as published by the free software foundation",
     "GPL_3_OR_LATER": r"either version 3 of the license or at your option any later version",
     "GPL_2_OR_LATER": r"either version 2 of the license or at your option any later version",
-    "LGPL_NAME": r".*licensed under the gnu lesser general public license.*",
-    "AGPL_NAME": r".*licensed under the gnu affero general public license.*",
-    "MPL_2": r"this source code form is subject to the terms of the mozilla public license,? v 2 0",
+    "LGPL_NAME": r"licensed under the gnu lesser general public license",
+    "AGPL_NAME": r"licensed under the gnu affero general public license",
+    "MPL_2": r"this source code form is subject to the terms of the mozilla public license v 2 0",
     "BSD_GRANT": r"redistribution and use in source and binary forms with or without modification are "
     r"permitted provided that the following conditions are met",
-    "BSD_BINARY": r"redistributions in binary form must reproduce the above copyright notice.*",
-    "BSD_NAMES": r"neither the name of .* may be used to endorse or promote products.*",
+    "BSD_BINARY": r"redistributions in binary form must reproduce the above copyright notice",
+    "BSD_NAMES": r"neither the name of(?:_(?!neither the name of)[a-z0-9]++)*?_may be used to endorse or "
+    r"promote products",
     "ISC_GRANT": r"permission to use copy modify and or distribute this software for any purpose with or "
-    r"without fee is hereby granted.*",
+    r"without fee is hereby granted",
     "UNLICENSE": r"this is free and unencumbered software released into the public domain",
     "PUBLIC_DOMAIN": r"(?:this work is |released )?(?:in|into) the public domain",
     "CC": r"(?:this work is )?licensed under (?:a )?(?:cc|creative commons) "
-    r"(?P<kind>by(?: nc)?(?: sa| nd)?|0|zero)(?: (?P<version>\d 0))?",
-    "SPDX": r"spdx license identifier (?P<kind>[a-z0-9 ]+)",
-    "RESERVED": r"(?:copyright .* )?all rights reserved",
+    r"(?P<kind>by(?: nc)?(?: sa| nd)?|0|zero)(?: (?P<version>[0-9] 0))?",
+    "SPDX": r"spdx license identifier[^a-z0-9\n]++(?P<kind>[a-z0-9]++(?:~[a-z0-9]++)*+)",
+    "RESERVED": r"all rights reserved",
 }
+# Sentences that must begin, and that must end, where a sentence or a line does.
+BEGINS = {"MIT_NAME", "APACHE_2", "GPL_3_NAME", "GPL_2_NAME", "PUBLIC_DOMAIN", "CC"}
+ENDS = BEGINS | {"RESERVED"}
 # Licence, and the sentences it shows in this order.
 RULES = (
     ("GPL-3.0-or-later", ("GPL_FREE", "GPL_3_OR_LATER")),
@@ -75,42 +82,75 @@ RULES = (
     ("public-domain", ("PUBLIC_DOMAIN",)),
     ("all-rights-reserved", ("RESERVED",)),
 )
-HINT = re.compile(r"licen[sc]|permi|redistribut|public domain|reserved|free software|version|above copyright|"
-                  r"neither the name|software is provided|you may|source code form", re.IGNORECASE)
-SENTENCE = re.compile(r"[^\s.;!?][^;!?\n]*?(?=[.;!?](?:\s|$)|\s*$|\n)")
-GAPS = re.compile(r"[^a-z0-9,]+")
+GAP = re.compile(r"[^a-z0-9]*")
+GAPS = {
+    " ": r"[^a-z0-9]++",
+    "~": r"(?:[^a-z0-9\n.;:!?]|[.;:!?](?!\s|$))++",
+    "_": r"[^a-z0-9\n]*+(?:\n[^a-z0-9\n]*+)?",
+}
+STOP = re.compile(r"[.;:!?]")
+SPACE = re.compile(r"\s")
+ASCII_SMALL = {k: k + 32 for k in range(ord("A"), ord("Z") + 1)}
+Known = list[tuple[str, list[str], re.Pattern]]
+
+
+def compiled() -> Known:
+    """Identifier, words the text must have, and pattern of each known sentence."""
+    known = []
+    for name, sentence in SENTENCES.items():
+        plain, many = sentence, 1
+        while many:
+            plain, many = re.subn(r"\([^()]*\)[*?+]*", "|", plain)
+        words = re.findall(r"(?:(?<=[ _~])|^)[a-z]{2,}(?=[ _~]|$)", plain)
+        kept = re.split(r"(\(\?P<[a-z]+>)", sentence)
+        kept[::2] = (re.sub("[ ~_]", lambda gap: GAPS[gap.group()], part) for part in kept[::2])
+        pattern = rf"(?<![a-z0-9])(?:{''.join(kept)})(?![a-z0-9])"
+        known.append((name, sorted(set(words), key=len, reverse=True), re.compile(pattern)))
+    return known
+
+
+def _parts(gap: str) -> bool:
+    """Whether a line or a sentence ends in what stands between two words."""
+    stop = STOP.search(gap)
+    return "\n" in gap or bool(stop and SPACE.search(gap, stop.end()))
+
+
+def _begins(text: str, at: int) -> bool:
+    before = at
+    while before and not ("a" <= text[before - 1] <= "z" or "0" <= text[before - 1] <= "9"):
+        before -= 1
+    return not before or _parts(text[before:at])
 
 
-def normalised(sentence: str) -> str:
-    """Lower case; everything but letters, digits and commas becomes one blank."""
-    return GAPS.sub(" ", sentence.lower()).replace(" ,", ",").strip(" ,")
+def _ends(text: str, at: int) -> bool:
+    gap = GAP.match(text, at)
+    return gap.end() == len(text) or _parts(gap.group())
 
 
-def identified(sentence: str, known: list[tuple[str, re.Pattern]]) -> str | None:
-    plain = normalised(sentence)
-    without = plain.replace(",", "")
-    for name, pattern in known:
-        found = pattern.fullmatch(plain) or pattern.fullmatch(without)
-        if found:
-            kind = found.groupdict().get("kind")
-            if kind is None:
-                return name
-            version = (found.groupdict().get("version") or "").replace(" ", ".")
-            return ":".join((name, "-".join(filter(None, (kind.replace(" ", "-"), version)))))
-    return None
+def identified(name: str, found: re.Match) -> str:
+    """The identifier, with the kind and version that some sentences have."""
+    kind = found.groupdict().get("kind")
+    if kind is None:
+        return name
+    kind, version = (re.sub("[^a-z0-9]+", " ", x or "") for x in (kind, found.groupdict().get("version")))
+    return ":".join((name, "-".join(filter(None, (kind.replace(" ", "-"), version.replace(" ", "."))))))
 
 
-def sentences(text: str, known: list[tuple[str, re.Pattern]]) -> list[tuple[int, int, str]]:
+def sentences(text: str, known: Known) -> list[tuple[int, int, str]]:
     """``(start, end, identifier)`` of each known sentence; no two overlap, the longest wins."""
+    small = text.lower()
+    if len(small) != len(text):  # places must stay
+        small = text.translate(ASCII_SMALL)
     found = []
-    for whole in (text, text.replace("\n", " ")) if "\n" in text else (text,):
-        for m in SENTENCE.finditer(whole):
-            if m.end() - m.start() <= 600 and HINT.search(m.group()):
-                name = identified(m.group(), known)
-                if name:
-                    found.append((m.start(), m.end(), name))
+    for name, words, pattern in known:
+        if all(word in small for word in words):
+            for m in pattern.finditer(small):
+                if (name not in BEGINS or _begins(small, m.start())) and (
+                    name not in ENDS or _ends(small, m.end())
+                ):
+                    found.append((m.start(), m.end(), identified(name, m)))
     kept, until = [], -1
-    for start, end, name in sorted(set(found), key=lambda x: (x[0], -x[1])):
+    for start, end, name in sorted(found, key=lambda x: (x[0], -x[1])):
         if start >= until:
             kept.append((start, end, name))
             until = end
@@ -152,10 +192,10 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
 
     def begin():
-        known = [(name, re.compile(pattern)) for name, pattern in SENTENCES.items()]
+        known = compiled()
 
         def step(texts: list) -> list:
-            spans = [sentences(t, known) if t and HINT.search(t) else [] for t in texts]
+            spans = [sentences(t, known) if t else [] for t in texts]
             licences = [ruled([name for _, _, name in s]) for s in spans]
             return [licences, [[dict(zip(SPAN, span)) for span in s] for s in spans]]
 

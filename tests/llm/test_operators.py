@@ -183,6 +183,91 @@ def test_licences(spark, empty):
     assert licences.scan_licences(empty).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_2 = """Copyright (c) 2020, A. Holder
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+GPL_2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+GPL_3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+
+
+@pytest.mark.parametrize("notice,licence", [
+    (MIT, "MIT"), (BSD_2, "BSD-2-Clause"), (BSD_3, "BSD-3-Clause"),
+    (GPL_2, "GPL-2.0-or-later"), (GPL_3, "GPL-3.0-or-later"),
+])
+def test_licence_notices_however_wrapped(notice, licence):
+    known = licences.compiled()
+    marked = "/*\n" + "".join(f" * {line}\n" for line in notice.splitlines()) + " */\nint main;\n"
+    for text in (notice, " ".join(notice.split()), "Über İ: see below.\n" + notice, notice.replace("\n", "\r\n"),
+                 "\n".join(" ".join(part.split()) for part in notice.split("\n\n")), marked):
+        found = licences.sentences(text, known)
+        assert licences.ruled([name for _, _, name in found]) == [licence]
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:])) and found[-1][1] <= len(text)
+    both = licences.sentences(notice + "\n" + MIT, known)
+    assert licences.ruled([name for _, _, name in both]) == list(dict.fromkeys([licence, "MIT"]))
+    torn = licences.sentences(notice.replace("hereby", "").replace("binary", "").replace("Public", ""), known)
+    assert licence not in licences.ruled([name for _, _, name in torn])
+
+
+def test_short_licence_sentences_stand_alone():
+    known = licences.compiled()
+    found = lambda text: [name for _, _, name in licences.sentences(text, known)]
+    assert found("It fell into the public domain debate. Into the public domain.") == ["PUBLIC_DOMAIN"]
+    assert found("// SPDX-License-Identifier: MIT\n// Copyright A. Holder") == ["SPDX:mit"]
+    assert found("Licence: released under the MIT\nLicense") == ["MIT_NAME"]
+    assert found("the film was not released under the MIT License") == []
+
+
 def test_bpe_is_that_of_the_library(docs, empty):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
