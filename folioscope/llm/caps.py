@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.common import checkpointed
-from folioscope.llm.components import connected_components, join_labels
+from folioscope.llm.components import connected_components, join_labels, smallest_of_component
 
 CODES = 8
 LOAD = 64
@@ -137,15 +137,15 @@ def _verified(caps, unit, weight, block, first, second, here, least):
 
 
 def _store(embeddings: DataFrame, key: str, vector: str) -> DataFrame:
-    """One row per distinct usable vector: its smallest id and the number of rows."""
+    """One row per distinct usable vector: a key of its own, its smallest id and the number of rows."""
     odd = f"exists({vector}, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity'))"
     usable = embeddings.filter(
         f"{key} IS NOT NULL AND {vector} IS NOT NULL AND NOT {odd} AND exists({vector}, x -> x <> 0)"
     )
     return checkpointed(
         usable.groupBy(vector).agg(
-            F.min(F.col(key).cast("long")).alias("rep"), F.count("*").alias("weight")
-        )
+            F.min(F.col(key).cast("long")).alias("id"), F.count("*").alias("weight")
+        ).withColumn("rep", F.monotonically_increasing_id())
     )
 
 
@@ -159,7 +159,8 @@ def near_vectors(
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` per row of ``embeddings``.
 
-    Rows link at ``cosine`` or more.  Equal vectors are one while pairs are sought
+    Rows link at ``cosine`` or more; the component is the smallest id reachable over
+    links between rows, which an id that several vectors share is not.  Equal vectors are one while pairs are sought
     and link with each other.  Vectors that are NULL, empty, zero or hold NULL or
     non-finite components link with nothing, nor do vectors of different length;
     neither do rows whose id is NULL: no links, the id as component, kept.  Of
@@ -237,13 +238,14 @@ def near_vectors(
     )
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = connected_components(found.selectExpr("rep AS a", "root AS b"))
+    named = smallest_of_component(groups, points.selectExpr("rep AS node", "id"))
     classes = (
         points.join(degree, "rep", "left")
-        .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(named.withColumnRenamed("node", "rep"), "rep", "left")
         .selectExpr(
             vector,
             "coalesce(links, 0) + weight - 1 AS n_links",
-            "coalesce(component, rep) AS component_id",
+            "coalesce(label, id) AS component_id",
         )
     )
     own = F.col(key).cast("long")

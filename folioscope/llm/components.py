@@ -46,6 +46,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return links.selectExpr("a AS node", "b AS component").union(roots)
 
 
+def smallest_of_component(groups: DataFrame, ids: DataFrame) -> DataFrame:
+    """``groups (node, component)`` with ``label``, the smallest id that ``ids (node, id)`` has in the component."""
+    labels = checkpointed(
+        groups.join(ids, "node").groupBy("component").agg(F.min("id").alias("label"))
+    )
+    return groups.join(labels, "component").select("node", "component", "label")
+
+
 def join_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
     """Unite the classes of ``i`` and ``j`` pairwise; ``label[x]`` is the smallest index of x's class."""
     while True:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.common import checkpointed, per_row
-from folioscope.llm.components import connected_components, join_labels
+from folioscope.llm.components import connected_components, join_labels, smallest_of_component
 
 BITS = 64
 STEP = 8
@@ -218,24 +218,32 @@ def near_duplicates(
     node: int = NODE,
     large: int = LARGE,
 ) -> DataFrame:
-    """``(doc_id, fingerprint, component_id, text_hash)`` for every row of ``docs``.
-
-    Fingerprints link at ``distance`` differing bits or fewer; the component is
-    the smallest id reachable.  A NULL text counts as empty: fingerprint zero,
-    linked like any other.  Rows that repeat an id get a row each.  A NULL id
-    takes part in no link; such a row gets the component of its fingerprint, NULL
-    if no other row has one.  An empty table gives an empty result.  ``text_hash``
-    is ``xxhash64`` of the text as it stands, to find the row again.
+    """``(doc_id, fingerprint, component_id, text_hash, class)`` for every row of ``docs``.
+
+    Fingerprints link at ``distance`` differing bits or fewer; ``class`` is the
+    smallest fingerprint reachable, as a signed long, and the component is the
+    smallest id of the class.  Classes may share that id if rows repeat it, so rows
+    are grouped by class.  A NULL text counts as empty: fingerprint zero, linked
+    like any other.  Rows that repeat an id get a row each.  A NULL id takes part
+    in no link; such a row gets class and component of its fingerprint, NULL if no
+    other row has one.  An empty table gives an empty result.  ``text_hash`` is
+    ``xxhash64`` of the text as it stands, to find the row again.
     """
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")
     )
     marked = checkpointed(fingerprints(rows, words, ["id", "h"]))
     points = checkpointed(marked.groupBy("fp").agg(F.min("id").alias("id")).filter("id IS NOT NULL"))
-    groups = connected_components(near_links(points, distance, node, large))
-    classes = points.join(groups, points["id"] == groups["node"], "left").selectExpr(
-        "fp", "coalesce(component, id) AS component_id"
+    nodes = points.selectExpr("fp", "fp AS id")
+    groups = connected_components(near_links(nodes, distance, node, large))
+    named = smallest_of_component(groups, points.selectExpr("fp AS node", "id"))
+    classes = points.join(named, points["fp"] == named["node"], "left").selectExpr(
+        "fp", "coalesce(component, fp) AS class", "coalesce(label, id) AS component_id"
     )
     return marked.join(classes, "fp", "left").selectExpr(
-        f"id AS {key}", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id", "h AS text_hash"
+        f"id AS {key}",
+        "lpad(lower(hex(fp)), 16, '0') AS fingerprint",
+        "component_id",
+        "h AS text_hash",
+        "class",
     )

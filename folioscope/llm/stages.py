@@ -59,10 +59,10 @@ def without_near_copies(docs: DataFrame, words: int = 3, distance: int = 2) -> D
     found = checkpointed(simhash.near_duplicates(docs, words, distance))
     first = (
         found.filter("doc_id IS NOT NULL")
-        .groupBy("component_id")
+        .groupBy("class")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     )
-    decided = found.join(first, "component_id", "left").selectExpr(
+    decided = found.join(first, "class", "left").selectExpr(
         "doc_id AS id", "text_hash AS h", "struct(doc_id, text_hash) <=> first AS stays"
     )
     return one_of_each(docs, decided)

@@ -82,6 +82,19 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_simhash_does_not_link_texts_that_share_an_id(spark):
+    fox = "the quick brown fox jumps over the lazy dog again and again today"
+    wizards = "seven wizards box quietly near an old harbour while the rain keeps on falling"
+    table = [(5, fox), (5, wizards), (6, fox), (7, wizards), (7, fox), (8, "nothing like the others at all")]
+    found = simhash.near_duplicates(spark.createDataFrame(table, "doc_id long, text string")).collect()
+    by_text = {r.fingerprint: r["class"] for r in found}
+    assert len(by_text) == len(set(by_text.values())) == 3
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(5, 5), (5, 5), (6, 5), (7, 5), (7, 5), (8, 8)]
+    other = spark.createDataFrame([(5, fox), (5, wizards), (1, fox), (3, wizards)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in simhash.near_duplicates(other).collect())
+    assert got == [(1, 1), (3, 3), (5, 1), (5, 3)]
+
+
 def test_trie_pairs_finds_all_pairs():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, size=40, dtype=np.uint64)
@@ -350,6 +363,16 @@ def test_caps(spark, dims, block):
     assert caps.near_vectors(df.filter("vec_id < 0")).count() == 0
 
 
+def test_caps_does_not_add_up_vectors_that_share_an_id(spark):
+    east, near, north, up = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    table = [(5, east), (5, north), (6, near), (7, [0.1, 1.0, 0.0]), (7, up), (2, [0.0, 0.9, 0.0]), (5, up)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>")
+    found = caps.near_vectors(df).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [
+        (2, 2, 2), (5, 1, 5), (5, 1, 5), (5, 2, 2), (6, 1, 5), (7, 1, 5), (7, 2, 2)
+    ]
+
+
 def test_caps_recall(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(3000, 64))

@@ -59,3 +59,14 @@ def test_stages_keep_one_row_of_each(spark):
     clashing = docs.selectExpr("*", "7 AS predicted", "'x' AS Score", "0 AS row")
     assert stages.without_toxic(clashing, labels).exceptAll(clashing).isEmpty()
     assert stages.without_toxic(clashing, labels).columns == clashing.columns
+
+
+def test_near_dedup_keeps_texts_that_share_an_id(spark):
+    fox = "the quick brown fox jumps over the lazy dog again and again today"
+    wizards = "seven wizards box quietly near an old harbour while the rain keeps on falling"
+    table = [(5, fox, 1), (5, wizards, 2), (6, fox.upper(), 3), (7, wizards.upper(), 4), (8, "other", 5)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, n_chars int")
+    assert sorted(r.n_chars for r in stages.without_near_copies(docs).collect()) == [1, 2, 5]
+    one_id = spark.createDataFrame([(1, f"{k} " * 20, k) for k in range(30)], "doc_id long, text string, n_chars int")
+    prints = {r.fingerprint for r in stages.simhash.near_duplicates(one_id, distance=0).collect()}
+    assert stages.without_near_copies(one_id, distance=0).count() == len(prints) > 20
