@@ -12,6 +12,8 @@ cells before it, so a length that most documents share is spread over tasks.
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,8 @@ from folioscope.llm.vocabulary import load_ranks
 
 SIZE = 2048
 CELLS = 256
+LONG = 1 << 16  # runs of white space from this length on do not meet PATTERN, which backtracks over them
+RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -118,6 +122,30 @@ def best_fit(
     )
 
 
+def encoder(ranks: dict[bytes, int], specials: dict[str, int]) -> Callable[[str], np.ndarray]:
+    """A function from a text to its ids.
+
+    A long run of white space is a match of ``PATTERN`` by itself: all of it before
+    a special token or the end, else all but the last character.
+    """
+    codec = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=specials)
+    whole = tiktoken.Encoding("runs", pat_str=r"\s+", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(words: str) -> np.ndarray:
+        parts, at = [], 0
+        for run in RUN.finditer(words) if len(words) >= LONG else ():
+            last = run.end()
+            if last < len(words) and not any(words.startswith(token, last) for token in specials):
+                last -= 1
+            parts.append(codec.encode_to_numpy(words[at : run.start()], allowed_special="all"))
+            parts.append(whole.encode_to_numpy(words[run.start() : last], allowed_special="all"))
+            at = last
+        parts.append(codec.encode_to_numpy(words[at:] if at else words, allowed_special="all"))
+        return np.concatenate(parts).astype("<u4")
+
+    return encode
+
+
 def token_pieces(
     docs: DataFrame,
     ranks_file: str,
@@ -136,13 +164,10 @@ def token_pieces(
     ranks, extra = load_ranks(ranks_file), dict(specials or {})
 
     def begin():
-        codec = tiktoken.Encoding(
-            "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=extra
-        )
+        encode = encoder(ranks, extra)
 
         def cut(words: str | None) -> list[dict]:
-            ids = codec.encode_to_numpy(words or "", allowed_special="all").astype("<u4")
-            ids = np.append(ids, np.array([end], dtype="<u4"))
+            ids = np.append(encode(words or ""), np.array([end], dtype="<u4"))
             edges = [0, *range((len(ids) - 1) % size + 1, len(ids) + 1, size)]
             return [
                 {"piece": k, "start": lo, "length": hi - lo, "tokens": ids[lo:hi].tobytes()}

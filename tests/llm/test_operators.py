@@ -416,6 +416,33 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+def test_packing_takes_long_runs_of_white_space(spark, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    special, end = {"<|endoftext|>": 50256}, "<|endoftext|>"
+    ids = lambda text: library.encode(text, add_special_tokens=False).ids
+    ranks = packing.load_ranks(path)
+    monkeypatch.setattr(packing, "LONG", 3)
+    monkeypatch.setattr(packing, "RUN", packing.re.compile(packing.RUN.pattern.replace("65536", "3")))
+    encode = packing.encoder(ranks, special)
+    rng = np.random.default_rng(7)
+    signs = [" ", " ", " ", "\n", "\t", "\u3000", "\x1c", "\x85", "a", "'s", "!", "7", "\u00e9", end]
+    for size in rng.integers(0, 60, size=3000):
+        text = "".join(rng.choice(signs, size=size))
+        assert encode(text).tolist() == ids(text), repr(text)
+    monkeypatch.undo()
+    many = 3_000_000
+    table = [(0, " " * many), (1, "a" + "\n" * many + "b"), (2, "x " + " \n\t" * (many // 3) + end + " y"), (3, "end")]
+    found = packing.pack_documents(spark.createDataFrame(table, "doc_id long, text string"), path, 2048, 0, special)
+    total = {r.doc_id: r.n for r in found.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert total[0] == many + 1 and total[3] == len(ids("end")) + 1 and min(total[1], total[2]) > 1000
+    short = {k: t.replace(" " * many, " " * 70_000).replace("\n" * many, "\n" * 70_000)
+             .replace(" \n\t" * (many // 3), " \n\t" * 30_000) for k, t in table}
+    encode = packing.encoder(ranks, special)
+    for text in short.values():
+        assert encode(text).tolist() == ids(text)
+
+
 def talk():
     system = [(1, 0, "system", "be kind"), (2, 5, "user", None), (None, 1, "user", "who?"), (None, 2, None, "")]
     said = "\\### Assistant: </turn> ok <turn a>\n\\s \\l"
