@@ -58,7 +58,7 @@ class Fixture:
         """The process as the daily job leaves it: a table, for plans that read it repeatedly."""
         path = f"{shared_dir(self.spark)}/digital_actions_process"
         sinks.write_table(self.process, path)
-        return self.spark.read.parquet(path)
+        return sinks.read_table(self.spark, path)
 
     @cached_property
     def occurrences(self) -> DataFrame:
@@ -80,7 +80,7 @@ def _write_and_read(f: Fixture) -> DataFrame:
     log = f.landed.actions
     sinks.write_table(log.filter(~late), path, "append", f"from-{START}", restart=True)
     sinks.write_table(log.filter(late), path, "append", f"from-{MID}")
-    return f.spark.read.parquet(path).drop(sinks.LOAD)
+    return sinks.read_table(f.spark, path).drop(sinks.LOAD)
 
 
 def _upload_log(f: Fixture) -> DataFrame:

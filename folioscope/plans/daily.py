@@ -14,7 +14,7 @@ from folioscope.plans import summaries
 from folioscope.plans.landing import Landing
 from folioscope.session import use_checkpoints
 from folioscope.sinks import state as job_state
-from folioscope.sinks.tables import upload_log, write_table
+from folioscope.sinks.tables import read_table, upload_log, write_table
 
 LOG_SCHEMA = "log_date date, table_name string, row_count bigint, logged_at timestamp_ntz"
 REPLACED = ("member_details", "bias_results", "fund_details", "popular_funds")
@@ -39,7 +39,7 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return read_table(self.spark, self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in schemas.LANDED:

@@ -2,18 +2,44 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope import constants as K
+from folioscope.sinks.versions import (
+    SCHEMA,
+    Folder,
+    begin_version,
+    current_path,
+    current_version,
+    switch_version,
+)
 
 LOAD = "load"
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current rows of a table, in the columns and types it was written with.
+
+    The schema stands beside the rows, so no file is opened to learn it and a
+    table without rows has its columns too.  ``schema`` takes its place for
+    folders that other programs have written.
+    """
+    where = current_path(spark, path)
+    folder = Folder(spark, where)
+    if schema is None and SCHEMA in folder.names():
+        schema = T.StructType.fromJson(json.loads(folder.read_text(SCHEMA)))
+        return spark.read.schema(schema).parquet(where).select(*schema.names)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(where)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -21,52 +47,65 @@ def write_table(
     load: str | None = None,
     partition_by: Sequence[str] = (),
     restart: bool = False,
-    covered: Sequence[str] = (),
+    covered: Sequence[str | Sequence] = (),
 ) -> int:
     """Write ``df`` and return the number of rows, counted during the write.
 
-    ``replace`` writes the whole table anew.  ``append`` adds a partition
-    ``load=<name>`` and overwrites just that one, so a run that is repeated
-    after a failure adds nothing twice.  ``partitions`` overwrites the
-    partitions of ``partition_by`` that occur in ``df``; of those named in
-    ``covered`` (values of its first column, few) any without rows is removed.
-    ``restart`` drops what the table holds in any mode.
+    ``replace`` writes the whole table anew as a version of its own, which readers
+    get from the moment it is complete; ``df`` may read the table itself.
+    ``append`` adds a partition ``load=<name>`` to the current version and
+    overwrites just that one, so a run that is repeated after a failure adds
+    nothing twice.  ``partitions`` overwrites the partitions of ``partition_by``
+    that occur in ``df``; of those named in ``covered`` (values of its first
+    columns, few) any without rows is removed.  ``restart`` drops what the table
+    holds in any mode, by a new version too.
     """
+    spark = df.sparkSession
     counted = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
     rows = df
+    wanted = [(value,) if isinstance(value, str) else tuple(value) for value in covered]
     if mode == "append":
         if load is None:
             raise ValueError("append needs the name of the load")
         rows = rows.withColumn(LOAD, F.lit(load))
         partition_by = [LOAD, *partition_by]
     elif mode == "partitions":
-        # Few files per partition, and several for one that holds most rows.
-        rows = rows.hint("rebalance", *partition_by)
-        column = F.col(partition_by[0])
-        metrics += [F.count_if(column == value).alias(f"in {value}") for value in covered]
+        for number, values in enumerate(wanted):
+            here = [F.col(name) == value for name, value in zip(partition_by, values)]
+            metrics.append(F.count_if(reduce(lambda a, b: a & b, here)).alias(f"in {number}"))
     elif mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
+    finest = [name for name in partition_by if name != LOAD]
+    if finest:
+        # Few files per partition, and several for one that holds most rows.
+        rows = rows.hint("rebalance", *finest)
+    version = current_version(spark, path)
+    anew = mode == "replace" or restart or version is None
+    if anew:
+        version = begin_version(spark, path)
     writer = rows.observe(counted, *metrics).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if mode != "replace" and not restart:
+    if not anew:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer.parquet(f"{path}/{version}")
     found = counted.get
+    if anew:
+        Folder(spark, f"{path}/{version}").write_text(SCHEMA, rows.schema.json())
+        switch_version(spark, path, version)
+        return found["rows"]
     if mode == "append" and not found["rows"]:
-        _drop_partition(df.sparkSession, path, LOAD, load)
-    if mode == "partitions":
-        for value in covered:
-            if not found[f"in {value}"]:
-                _drop_partition(df.sparkSession, path, partition_by[0], value)
+        _drop_partition(spark, f"{path}/{version}", {LOAD: load})
+    for number, values in enumerate(wanted if mode == "partitions" else []):
+        if not found[f"in {number}"]:
+            _drop_partition(spark, f"{path}/{version}", dict(zip(partition_by, values)))
     return found["rows"]
 
 
-def _drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+def _drop_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> None:
     """Remove a partition's folder: overwriting it with no rows leaves the old ones."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{column}={quote(value, safe='')}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    Folder(spark, path).remove("/".join(f"{name}={quote(str(value), safe='')}" for name, value in values.items()))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, **options: str) -> None:

@@ -17,11 +17,6 @@ def source_scan(
     return rows if columns is None else rows.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """An exported table with a header row; times stay text and operators parse them."""
-    return spark.read.csv(path, header=True, schema=schema)
-
-
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -8,7 +8,8 @@ from folioscope.plans.landing import Landing
 from folioscope.plans import summaries
 from folioscope.session import shared_dir
 from folioscope.sinks import state as job_state
-from folioscope.sinks.tables import upload_log, write_table
+from folioscope.sinks import tables, versions
+from folioscope.sinks.tables import read_table, upload_log, write_table
 from folioscope.sources.sample import SampleSources
 from tests.frames import at, rows
 
@@ -20,15 +21,58 @@ def test_repeated_loads_replace_themselves(spark, tmp_path):
     assert write_table(one, path, "append", "a") == 2
     assert write_table(two, path, "append", "b") == 1
     assert write_table(two, path, "append", "b") == 1
-    assert rows(spark.read.parquet(path), "x") == [(1,), (2,), (3,)]
+    assert rows(read_table(spark, path), "x") == [(1,), (2,), (3,)]
     assert write_table(two, path, "append", "c", restart=True) == 1
-    assert rows(spark.read.parquet(path), "x") == [(3,)]
+    assert rows(read_table(spark, path), "x") == [(3,)]
     assert write_table(one, path, "replace") == 2
-    assert rows(spark.read.parquet(path), "x") == [(1,), (2,)]
+    assert rows(read_table(spark, path), "x") == [(1,), (2,)]
     with pytest.raises(ValueError):
         write_table(one, path, "append")
 
 
+def test_a_replacement_that_breaks_off_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    old = spark.range(40).selectExpr("id AS x")
+    write_table(old, path)
+    new = spark.range(0, 4000, 1, 8).selectExpr("id AS x")
+    breaks = new.selectExpr("CASE WHEN x = 3999 THEN raise_error('lost') ELSE x END AS x")
+    with pytest.raises(Exception, match="lost"):
+        write_table(breaks, path)
+    assert rows(read_table(spark, path)) == rows(old)
+    with monkeypatch.context() as patched:  # the run ends between the last row and the switch
+        patched.setattr(tables, "switch_version", lambda *_: pytest.fail("ended"))
+        with pytest.raises(pytest.fail.Exception, match="ended"):
+            write_table(new, path)
+    assert rows(read_table(spark, path)) == rows(old)
+    reader = read_table(spark, path)  # begun before the switch
+    assert write_table(new, path) == 4000
+    assert read_table(spark, path).count() == 4000 and reader.count() == 40
+    left = lambda: {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()}
+    assert len(left()) == 2 and versions.current_version(spark, path) in left()
+    assert write_table(old, path) == 40
+    assert len(left()) == 2 and rows(read_table(spark, path)) == rows(old)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_file() and p.suffix != ".crc") == ["_current"]
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5).selectExpr("id AS x", "'k' AS k", "1 AS y"), path, "append", "a", ["k"])
+    twice = read_table(spark, path).selectExpr("x * 2 AS x", "k", "y")
+    assert write_table(twice, path, partition_by=["k"]) == 5
+    found = read_table(spark, path)
+    assert found.columns == ["x", "k", "y"] and rows(found, "x") == [(0,), (2,), (4,), (6,), (8,)]
+    assert write_table(twice.limit(0), path, partition_by=["k"]) == 0
+    assert read_table(spark, path).columns == ["x", "k", "y"] and read_table(spark, path).count() == 0
+
+
+def test_a_plain_folder_is_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    assert read_table(spark, path).count() == 3
+    assert write_table(spark.range(7), path) == 7
+    assert read_table(spark, path).count() == 7
+
+
 def test_upload_log_keeps_the_newest_count(spark):
     entries = spark.createDataFrame(
         [
@@ -119,7 +163,7 @@ def test_an_empty_load_replaces_an_earlier_one(spark, tmp_path):
     assert write_table(two, path, mode="append", load="one") == 2
     assert write_table(two, path, mode="append", load="two") == 2
     assert write_table(two.limit(0), path, mode="append", load="one") == 0
-    assert rows(spark.read.parquet(path), "a", "load") == rows(two.selectExpr("a", "'two' AS load"))
+    assert rows(read_table(spark, path), "a", "load") == rows(two.selectExpr("a", "'two' AS load"))
 
 
 def test_a_covered_month_without_rows_is_removed(spark, tmp_path):
@@ -129,9 +173,9 @@ def test_a_covered_month_without_rows_is_removed(spark, tmp_path):
     assert write_table(month, path, **by_month) == 3
     again = month.filter("a = 3")
     assert write_table(again, path, covered=["2024/01", "2024/02"], **by_month) == 1
-    assert rows(spark.read.parquet(path), "a", "year_month") == [(1, "2023/12"), (3, "2024/02")]
+    assert rows(read_table(spark, path), "a", "year_month") == [(1, "2023/12"), (3, "2024/02")]
     assert write_table(again.limit(0), path, covered=["2024/02"], **by_month) == 0
-    assert rows(spark.read.parquet(path), "a", "year_month") == [(1, "2023/12")]
+    assert rows(read_table(spark, path), "a", "year_month") == [(1, "2023/12")]
 
 
 def test_months_of_a_window():
