@@ -153,18 +153,21 @@ def conversion_occurrences(process: DataFrame) -> DataFrame:
     )
 
 
-def _before_conversion(events: DataFrame, occurrences: DataFrame) -> DataFrame:
+def latest_conversions(occurrences: DataFrame) -> DataFrame:
+    return occurrences.groupBy(*PATH).agg(F.max("converted_timestamp").alias("__last"))
+
+
+def before_conversion(events: DataFrame, bounds: DataFrame) -> DataFrame:
     """Each event once per kind of conversion that some occurrence follows it with.
 
     An event lies before some occurrence exactly when it lies before the latest
     one, so events meet one bound per kind instead of every occurrence.
     """
-    bounds = occurrences.groupBy(*PATH).agg(F.max("converted_timestamp").alias("__last"))
     met = salted_join(events, bounds, "customer_id", ["event_time", "event_type"])
     return met.filter("event_time < __last").drop("__last")
 
 
-def _named_events(process: DataFrame) -> DataFrame:
+def named_events(process: DataFrame) -> DataFrame:
     return process.selectExpr(
         "customer_id", "converted_timestamp AS event_time", "event_field AS event_type"
     )
@@ -172,14 +175,14 @@ def _named_events(process: DataFrame) -> DataFrame:
 
 def prior_events(process: DataFrame, occurrences: DataFrame) -> DataFrame:
     """Events before a conversion: one row per event and kind of conversion after it."""
-    found = _before_conversion(_named_events(process), occurrences)
+    found = before_conversion(named_events(process), latest_conversions(occurrences))
     return found.select(*PATH, "event_time", "event_type")
 
 
 def event_prev(process: DataFrame, chunk: str = "hour") -> DataFrame:
     """Each event with the one before it, per customer by time (name breaks ties)."""
     return previous_value(
-        _named_events(process),
+        named_events(process),
         HISTORY,
         ["event_time", "event_type"],
         F.date_trunc(chunk, "event_time"),
@@ -200,7 +203,7 @@ def event_groups(process: DataFrame, occurrences: DataFrame, chunk: str = "hour"
         "event_type",
         "int(prev_event IS NULL OR event_type != prev_event) AS is_new_group",
     )
-    flagged = _before_conversion(flagged, occurrences).select(
+    flagged = before_conversion(flagged, latest_conversions(occurrences)).select(
         *PATH, "event_time", "event_type", "is_new_group"
     )
     return running_total(
@@ -220,14 +223,8 @@ def last_3_events(latest: DataFrame) -> DataFrame:
     )
 
 
-def out_path_4_events(process: DataFrame) -> DataFrame:
-    """One row per conversion that has an earlier event: the three kinds before it, and itself.
-
-    The three are ranked per customer and kind of conversion, so repeated
-    conversions of one kind share them.
-    """
-    occurrences = conversion_occurrences(process)
-    last = last_3_events(latest_per_event_type(prior_events(process, occurrences)))
+def path_rows(occurrences: DataFrame, last: DataFrame) -> DataFrame:
+    """One row per conversion with the three kinds of event ranked in ``last`` before it."""
     before = last.groupBy(*PATH).agg(
         *[
             F.max(F.when(F.col("event_rank") == rank, F.col("event_type"))).alias(f"event_{rank}")
@@ -246,3 +243,14 @@ def out_path_4_events(process: DataFrame) -> DataFrame:
         F.col("event_data_text").alias("event_4_data_text"),
         F.col("event_data_num").alias("event_4_data_num"),
     )
+
+
+def out_path_4_events(process: DataFrame) -> DataFrame:
+    """One row per conversion that has an earlier event: the three kinds before it, and itself.
+
+    The three are ranked per customer and kind of conversion, so repeated
+    conversions of one kind share them.
+    """
+    occurrences = conversion_occurrences(process)
+    last = last_3_events(latest_per_event_type(prior_events(process, occurrences)))
+    return path_rows(occurrences, last)

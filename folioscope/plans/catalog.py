@@ -20,10 +20,11 @@ from folioscope.operators import (
     members,
     metrics,
     monthly,
+    path_state,
     paths,
     static,
 )
-from folioscope.plans import summaries
+from folioscope.plans import summaries, upkeep
 from folioscope.plans.landing import Landing
 from folioscope.session import shared_dir
 from folioscope.sinks import state as job_state
@@ -307,7 +308,63 @@ METRICS: dict[str, Query] = {
     "table_fingerprint": lambda f: metrics.table_fingerprint(f.landed.fund_actions, KEYWORD),
 }
 
+def _paths_by_window(f: Fixture) -> DataFrame:
+    """Paths from the state of the first half of the window, to which the second is added."""
+    old, new = Landing(f.source, START, MID, AS_OF), Landing(f.source, MID, END, AS_OF)
+    whole = summaries.first_day(AS_OF)
+    folder = shared_dir(f.spark)
+    state = occurrences = None
+    for name, part in (("old", old), ("new", new)):
+        digital = paths.digital_formatted(part.digital_actions, AS_OF)
+        sinks.write_table(paths.digital_process(digital, part.window_actions, AS_OF), f"{folder}/{name}")
+        process = sinks.read_table(f.spark, f"{folder}/{name}")
+        sinks.write_table(path_state.add_window(state, occurrences, process), f"{folder}/state")
+        sinks.write_table(
+            paths.conversion_occurrences(process), f"{folder}/occurrences", "append", name
+        )
+        state = sinks.read_table(f.spark, f"{folder}/state")
+        occurrences = sinks.read_table(f.spark, f"{folder}/occurrences").drop(sinks.LOAD)
+    none = paths.digital_formatted(new.digital_actions.limit(0), AS_OF)
+    snapshot = paths.digital_process(none, new.snapshot_actions, AS_OF)
+    return path_state.paths_of_state(state, occurrences, whole, snapshot)
+
+
+def _summary_by_month(f: Fixture) -> DataFrame:
+    """The monthly summary after the first half, its last month then built anew from both halves."""
+    path = f"{shared_dir(f.spark)}/summary_year_month"
+    by_month = {"mode": "partitions", "partition_by": ["year", "month"]}
+    sinks.write_table(summaries.summary_year_month(Landing(f.source, START, MID, MID_AS_OF)), path, **by_month)
+    month = f"{MID:%Y/%m}"
+    new = summaries.summary_year_month(summaries.OfMonths(f.landed, [month]))
+    sinks.write_table(new, path, covered=[(MID.year, MID.month)], **by_month)
+    return sinks.read_table(f.spark, path)
+
+
+def _merge_by_bucket(f: Fixture, buckets: int = 64) -> DataFrame:
+    """``feature_merge`` on a stored matrix: only buckets with a measured feature are read and rewritten."""
+    folder = shared_dir(f.spark)
+    old, new = Landing(f.source, START, MID, MID_AS_OF), Landing(f.source, MID, END, AS_OF)
+    bucket = upkeep.bucket_of("customer_id", buckets)
+    by_bucket = {"mode": "partitions", "partition_by": ["bucket"]}
+    sinks.write_table(summaries.arketip(old, MID_AS_OF).withColumn("bucket", bucket), f"{folder}/matrix", **by_bucket)
+    sinks.write_table(summaries.feature_updates(new, AS_OF), f"{folder}/updates")
+    updates = sinks.read_table(f.spark, f"{folder}/updates")
+    chosen = sorted(upkeep.loaded_buckets([updates], buckets))
+    matrix = sinks.read_table(f.spark, f"{folder}/matrix")
+    merged = features.feature_merge(updates, matrix.filter(F.col("bucket").isin(chosen)))
+    sinks.write_table(merged.withColumn("bucket", bucket), f"{folder}/matrix", **by_bucket)
+    return sinks.read_table(f.spark, f"{folder}/matrix").drop("bucket")
+
+
+# Results brought up to date from what an earlier run has stored.
+UPKEEP: dict[str, Query] = {
+    "out_path_4_events_by_window": _paths_by_window,
+    "summary_year_month_by_month": _summary_by_month,
+    "feature_merge_by_bucket": _merge_by_bucket,
+}
+
 QUERIES: dict[str, Query] = {
+    **UPKEEP,
     **EXTRACTION,
     **ACTIONS,
     **PATHS,

@@ -45,6 +45,10 @@ class Landing:
     def portfolio_ids(self) -> DataFrame:
         return members.portfolio_customers(self.sources["portfolios"], self.account_ids)
 
+    def since(self, name: str, first) -> DataFrame:
+        """A table whose rows before the day ``first`` are not needed; here it is whole."""
+        return getattr(self, name)
+
     def fix_ids(self) -> None:
         """Compute who is who once, in the checkpoint folder; all tables then read that."""
         self.ids = self.ids.checkpoint()

@@ -95,6 +95,18 @@ LANDED = {
     "upload_log": _schema("log_date date, table_name string, row_count bigint"),
 }
 
+# Tables that grow by loads, each load partitioned by the day of this column.
+DAY = "event_day"
+DAY_OF = {
+    "digital_actions": "event_time",
+    "actions": "timestamp",
+    "fund_actions": "timestamp",
+    "daily_outstandings": "date",
+}
+
+# Tables rewritten month by month.
+BY_MONTH = ("monthly_outstandings", "monthly_outstanding_funds")
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in its order and types; extra columns fall away."""

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.functions.times import in_window
+from folioscope.functions.times import day, in_window
 
 STATE_SCHEMA = "latest string, initial_run boolean, end_date string, run_number bigint"
 FIRST_DAY = date(2000, 1, 1)
@@ -72,6 +72,15 @@ def write_state(spark: SparkSession, path: str, window: Window) -> None:
     spark.createDataFrame(row, STATE_SCHEMA).coalesce(1).write.mode("append").json(path)
 
 
-def incremental_slice(table: DataFrame, time_column: str, window: Window) -> DataFrame:
-    """Rows new since the last run."""
-    return table.filter(in_window(F.col(time_column), window.start, window.end))
+def incremental_slice(
+    table: DataFrame, time_column: str, window: Window, day_column: str | None = None
+) -> DataFrame:
+    """Rows new since the last run.
+
+    ``day_column`` names the day of ``time_column`` in a table partitioned by it;
+    then only the window's days are read.
+    """
+    rows = table.filter(in_window(F.col(time_column), window.start, window.end))
+    if day_column is None:
+        return rows
+    return rows.filter((F.col(day_column) >= day(window.start)) & (F.col(day_column) <= day(window.end)))

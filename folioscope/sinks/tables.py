@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import quote
@@ -54,7 +55,7 @@ def write_table(
     ``replace`` writes the whole table anew as a version of its own, which readers
     get from the moment it is complete; ``df`` may read the table itself.
     ``append`` adds a partition ``load=<name>`` to the current version and
-    overwrites just that one, so a run that is repeated after a failure adds
+    replaces just that one, so a run that is repeated after a failure adds
     nothing twice.  ``partitions`` overwrites the partitions of ``partition_by``
     that occur in ``df``; of those named in ``covered`` (values of its first
     columns, few) any without rows is removed.  ``restart`` drops what the table
@@ -65,47 +66,51 @@ def write_table(
     metrics = [F.count(F.lit(1)).alias("rows")]
     rows = df
     wanted = [(value,) if isinstance(value, str) else tuple(value) for value in covered]
-    if mode == "append":
-        if load is None:
-            raise ValueError("append needs the name of the load")
-        rows = rows.withColumn(LOAD, F.lit(load))
-        partition_by = [LOAD, *partition_by]
-    elif mode == "partitions":
+    if mode == "append" and load is None:
+        raise ValueError("append needs the name of the load")
+    if mode == "partitions":
         for number, values in enumerate(wanted):
             here = [F.col(name) == value for name, value in zip(partition_by, values)]
             metrics.append(F.count_if(reduce(lambda a, b: a & b, here)).alias(f"in {number}"))
-    elif mode != "replace":
+    elif mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    finest = [name for name in partition_by if name != LOAD]
-    if finest:
+    if partition_by:
         # Few files per partition, and several for one that holds most rows.
-        rows = rows.hint("rebalance", *finest)
+        rows = rows.hint("rebalance", *partition_by)
     version = current_version(spark, path)
     anew = mode == "replace" or restart or version is None
     if anew:
         version = begin_version(spark, path)
+    folder = Folder(spark, f"{path}/{version}")
+    # A load is written aside: a repeated one may have other partitions than before.
+    aside = f"_load-{uuid.uuid4().hex}" if mode == "append" else ""
     writer = rows.observe(counted, *metrics).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if not anew:
+    if mode == "partitions" and not anew:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(f"{path}/{version}")
+    writer.parquet(f"{path}/{version}/{aside}".rstrip("/"))
     found = counted.get
+    if mode == "append":
+        name = _folder_of({LOAD: load})
+        folder.remove(name)
+        if found["rows"]:
+            folder.rename(aside, name)
+        folder.remove(aside)
     if anew:
-        Folder(spark, f"{path}/{version}").write_text(SCHEMA, rows.schema.json())
+        kept = T.StructType([*rows.schema.fields, T.StructField(LOAD, T.StringType())])
+        folder.write_text(SCHEMA, (kept if mode == "append" else rows.schema).json())
         switch_version(spark, path, version)
-        return found["rows"]
-    if mode == "append" and not found["rows"]:
-        _drop_partition(spark, f"{path}/{version}", {LOAD: load})
-    for number, values in enumerate(wanted if mode == "partitions" else []):
-        if not found[f"in {number}"]:
-            _drop_partition(spark, f"{path}/{version}", dict(zip(partition_by, values)))
+    elif mode == "partitions":
+        for number, values in enumerate(wanted):
+            if not found[f"in {number}"]:  # overwriting with no rows leaves the old ones
+                folder.remove(_folder_of(dict(zip(partition_by, values))))
     return found["rows"]
 
 
-def _drop_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> None:
-    """Remove a partition's folder: overwriting it with no rows leaves the old ones."""
-    Folder(spark, path).remove("/".join(f"{name}={quote(str(value), safe='')}" for name, value in values.items()))
+def _folder_of(values: Mapping[str, object]) -> str:
+    """The name of a partition's folder."""
+    return "/".join(f"{name}={quote(str(value), safe='')}" for name, value in values.items())
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, **options: str) -> None:
@@ -130,8 +135,18 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def upload_log(entries: DataFrame) -> DataFrame:
     """The log as a table: per day and table the count logged last.
 
-    ``entries`` has ``log_date, table_name, row_count, logged_at``.  Entries are
-    only ever added, so no writer replaces a file another one reads.
+    ``entries`` has ``log_date, table_name, row_count, logged_at``.
     """
     newest = F.max_by("row_count", F.struct("logged_at", "row_count"))
     return entries.groupBy("log_date", "table_name").agg(newest.alias("row_count"))
+
+
+def merge_log(entries: DataFrame, path: str) -> int:
+    """Lay ``entries`` over the log at ``path``; it keeps one row per day and table."""
+    spark = entries.sparkSession
+    every = entries
+    if current_version(spark, path):
+        every = read_table(spark, path).unionByName(entries)
+    newest = F.max_by(F.struct("row_count", "logged_at"), F.struct("logged_at", "row_count"))
+    kept = every.groupBy("log_date", "table_name").agg(newest.alias("newest"))
+    return write_table(kept.select("log_date", "table_name", "newest.*"), path)

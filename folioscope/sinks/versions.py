@@ -62,6 +62,10 @@ class Folder:
         over[0] = getattr(fs, "Options$Rename").OVERWRITE
         context.rename(self.files.makeQualified(passing), self.files.makeQualified(self.child(name)), over)
 
+    def rename(self, name: str, new: str) -> None:
+        if not self.files.rename(self.child(name), self.child(new)):
+            raise OSError(f"{self.path}/{name} could not be renamed to {new}")
+
     def remove(self, name: str) -> None:
         self.files.delete(self.child(name), True)
 

@@ -1,17 +1,22 @@
+import re
+from collections import defaultdict
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from folioscope.plans.daily import DailyRun, Warehouse, months_between, run_daily
 from folioscope.plans.landing import Landing
-from folioscope.plans import summaries
+from folioscope.operators import paths
+from folioscope import schemas
+from folioscope.plans import summaries, upkeep
 from folioscope.session import shared_dir
 from folioscope.sinks import state as job_state
 from folioscope.sinks import tables, versions
 from folioscope.sinks.tables import read_table, upload_log, write_table
 from folioscope.sources.sample import SampleSources
-from tests.frames import at, rows
+from tests.frames import at, landed, rows
 
 
 def test_repeated_loads_replace_themselves(spark, tmp_path):
@@ -116,14 +121,27 @@ def test_state_reads_a_plain_json_file(spark, tmp_path):
     assert (window.start, window.end, window.initial) == (date(2024, 1, 10), date(2024, 1, 20), False)
 
 
+def files_of(root, name):
+    """Data files by partition folder, with what a rewrite would change."""
+    folder = root / name
+    found = defaultdict(set)
+    for file in folder.rglob("part-*.parquet"):
+        found[str(file.parent.relative_to(folder))].add((file.name, file.stat().st_mtime_ns))
+    return dict(found)
+
+
 def test_two_daily_runs_equal_one_plan_over_both_windows(spark, tmp_path):
     sources = SampleSources(spark, contract.SMOKE_DIR)
-    root = str(tmp_path / "warehouse")
-    counts = run_daily(spark, sources, root, date(2024, 1, 16))
+    folder = tmp_path / "warehouse"
+    root = str(folder)
+    counts = run_daily(spark, sources, root, date(2024, 1, 16), buckets=64)
     assert all(counts[name] > 0 for name in ("actions", "arketip", "out_path_4_events"))
     last = date(2024, 1, 31)
-    run_daily(spark, sources, root, last, datetime(2024, 1, 31, 6))
     warehouse = Warehouse(spark, root)
+    previous = spark.createDataFrame(warehouse.matrix().collect(), warehouse.matrix().schema)
+    kept = ("summary_year_month", "summary_year_month_fund_based", "arketip")
+    before = {name: files_of(folder, name) for name in kept}
+    run_daily(spark, sources, root, last, datetime(2024, 1, 31, 6), buckets=64)
 
     whole = Landing(sources, date(2000, 1, 1), last, last)
     for name in ("digital_actions", "daily_outstandings", "actions", "monthly_outstandings",
@@ -134,23 +152,119 @@ def test_two_daily_runs_equal_one_plan_over_both_windows(spark, tmp_path):
     newest = Landing(sources, date(2024, 1, 16), last, last)
     assert whole.fund_actions.count() > newest.fund_actions.count() > 0
 
+    # What was brought up to date equals what a full build gives.
     fund = summaries.summary_year_month_fund(warehouse)
     assert rows(warehouse.read("summary_year_month_fund_based")) == rows(fund)
-    matrix = warehouse.read("arketip").filter("run_date = DATE '2024-01-31'")
-    previous = warehouse.previous_matrix(last)
+    assert rows(warehouse.read("summary_year_month")) == rows(summaries.summary_year_month(warehouse))
+    matrix = warehouse.matrix()
     expected = summaries.arketip(warehouse, last, previous)
     assert rows(matrix, *expected.columns) == rows(expected)
+    process = summaries.digital_process(warehouse, last)
+    assert rows(warehouse.read("out_path_4_events")) == rows(paths.out_path_4_events(process))
+
+    # And nothing else was written: the files of other months and buckets are the same.
+    for name in kept[:2]:
+        after = files_of(folder, name)
+        assert all("year=2024/month=1" in part for part in after if after[part] != before[name].get(part))
+        assert sum(after[part] == before[name].get(part) for part in after) >= 2
+    after = files_of(folder, "arketip")
+    assert 0 < sum(after[part] == before["arketip"].get(part) for part in after) < len(after)
     log = {r["table_name"]: r["row_count"] for r in warehouse.log().filter("log_date = DATE '2024-01-31'").collect()}
     assert log["arketip"] == matrix.count() and log["member_details"] == warehouse.member_details.count()
+    assert warehouse.log().count() == 2 * len(log)
+
+
+def partition_filters(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return re.findall(r"PartitionFilters: \[([^\]]*)\]", df._jdf.queryExecution().explainString(mode))
+
+
+def test_landed_history_is_pruned_by_day(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for name, column in schemas.DAY_OF.items():
+        times = [at("2023-01-05 10:00:00"), at("2023-07-30 23:59:59"), at("2023-07-31 00:00:00"), at("2024-01-30 12:00:00"), None]
+        fields = {f.name: None for f in schemas.LANDED[name].fields}
+        table = [tuple({**fields, "customer_id": 1, column: t if column != "date" or t is None else t.date()}.values()) for t in times]
+        df = landed(spark, name, table).withColumn(schemas.DAY, F.to_date(column))
+        write_table(df, warehouse.path(name), mode="append", load="from-2000-01-01", partition_by=[schemas.DAY])
+        assert getattr(warehouse, name).count() == 5
+        since = warehouse.since(name, date(2023, 7, 31))
+        assert since.count() == 2 and "event_day" in partition_filters(since)[0]
+    process = summaries.digital_process(warehouse, date(2024, 1, 31))
+    filters = partition_filters(process)
+    assert len(filters) == 2 and all("(event_day" in f and ">= 2023-07-31)" in f for f in filters)
+    months = warehouse.of_months(["2023/07"])
+    assert months.daily_outstandings.count() == 2 and "event_day" in partition_filters(months.actions)[0]
+    window = job_state.next_window({"latest": "2023-07-31", "initial_run": False}, date(2024, 1, 31))
+    slice_ = job_state.incremental_slice(warehouse.read("actions"), "timestamp", window, schemas.DAY)
+    assert slice_.count() == 2 and "event_day" in partition_filters(slice_)[0]
+
+
+def test_a_repeated_load_replaces_days_it_no_longer_has(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 2))], "x int, day date")
+    write_table(df, path, "append", "a", ["day"])
+    write_table(df, path, "append", "b", ["day"])
+    assert write_table(df.filter("x = 2"), path, "append", "a", ["day"]) == 1
+    found = read_table(spark, path)
+    assert rows(found, "x", "load") == [(1, "b"), (2, "a"), (2, "b")]
+    assert found.columns == ["x", "day", "load"]
+
+
+def test_only_changed_buckets_are_read_and_merged(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    table = spark.range(100).selectExpr("id AS customer_id", "id AS v").withColumn("bucket", upkeep.bucket_of("customer_id", 8))
+    write_table(table, warehouse.path("arketip"), mode="partitions", partition_by=["bucket"])
+    two = warehouse.matrix([3, 5])
+    assert "bucket" in partition_filters(two)[0] and rows(two, "v") == rows(table.filter("bucket IN (3, 5)"), "v")
+    merged = warehouse.matrix([3, 5]).withColumn("v", F.col("v") + 1000).filter("bucket = 3")
+    write_table(merged, warehouse.path("arketip"), mode="partitions", partition_by=["bucket"], covered=[(3,), (5,)])
+    want = table.filter("bucket <> 5").selectExpr("CASE WHEN bucket = 3 THEN v + 1000 ELSE v END AS v")
+    assert rows(warehouse.matrix(), "v") == rows(want)
+
+
+def test_what_a_run_touches_follows_from_what_changed(spark):
+    def table(name, *values):
+        fields = [f.name for f in schemas.LANDED[name].fields]
+        return landed(spark, name, [tuple((dict.fromkeys(fields) | v).values()) for v in values])
+
+    def marks(snapshot, details, funds, popular, setup="2024"):
+        found = upkeep.fingerprints(
+            table("actions", *snapshot), {"member_details": table("member_details", *details)},
+            table("fund_details", *funds), table("popular_funds", *popular), setup, 8,
+        )
+        return spark.createDataFrame(found.collect(), found.schema)
+
+    joined = {"customer_id": 1, "action_type": "a", "timestamp": at("2023-05-01 00:00:00")}
+    later = {"customer_id": 2, "action_type": "a", "timestamp": at("2023-09-01 00:00:00")}
+    nobody = {"customer_id": None, "timestamp": None}
+    who, fund, day = {"customer_id": 1, "birth_year": 1980}, {"code": "F1", "risk_value": 3}, {"fund_code": "F1"}
+    old = marks([joined, nobody], [who], [fund], [day])
+    bucket = {n: spark.range(n, n + 1).select(upkeep.bucket_of("id", 8)).first()[0] for n in (1, 2)}
+    assert upkeep.changes(old, None) is None
+    assert upkeep.months_to_build(None, ["2024/01"]) is None and upkeep.buckets_to_build(None, [1]) is None
+    assert upkeep.changes(marks([nobody, joined], [who], [fund], [day]), old) == set()
+    assert upkeep.months_to_build(set(), ["2024/01"]) == ["2024/01"]
+    more = upkeep.changes(marks([joined, later, nobody], [who], [fund], [day]), old)
+    assert upkeep.months_to_build(more, ["2024/01"]) == ["2023/09", "2024/01"]
+    assert upkeep.buckets_to_build(more, [7]) == sorted({bucket[2], 7})
+    gone = upkeep.changes(marks([nobody], [], [fund], [day]), old)
+    assert upkeep.months_to_build(gone, []) == ["2023/05"] and upkeep.buckets_to_build(gone, []) == [bucket[1]]
+    riskier = upkeep.changes(marks([joined, nobody], [who], [fund | {"risk_value": 4}], [day]), old)
+    assert upkeep.months_to_build(riskier, []) is None and upkeep.buckets_to_build(riskier, []) is None
+    renamed = upkeep.changes(marks([joined, nobody], [who], [fund | {"category": "x"}], [day]), old)
+    assert upkeep.months_to_build(renamed, []) == [] and upkeep.buckets_to_build(renamed, []) is None
+    year = upkeep.changes(marks([joined, nobody], [who], [fund], [day], "2025"), old)
+    assert upkeep.months_to_build(year, []) == [] and upkeep.buckets_to_build(year, []) is None
 
 
 def test_a_run_repeated_after_a_lost_state_adds_nothing(spark, tmp_path):
     sources = SampleSources(spark, contract.SMOKE_DIR)
     root = str(tmp_path / "warehouse")
-    first = run_daily(spark, sources, root, date(2024, 1, 31))
+    first = run_daily(spark, sources, root, date(2024, 1, 31), buckets=8)
     before = {name: rows(Warehouse(spark, root).read(name)) for name in ("actions", "digital_actions")}
     # The state was never read back: the window is the same again.
-    again = DailyRun(spark, sources, root, date(2024, 1, 31), datetime(2024, 1, 31))
+    again = DailyRun(spark, sources, root, date(2024, 1, 31), datetime(2024, 1, 31), buckets=8)
     again.window = job_state.next_window({"latest": "2000-01-01", "initial_run": False}, date(2024, 1, 31))
     assert again.run() == first
     after = {name: rows(Warehouse(spark, root).read(name)) for name in before}
@@ -188,7 +302,7 @@ def test_legacy_runs_keep_the_newest_fund_views(spark, tmp_path):
     sources = SampleSources(spark, contract.SMOKE_DIR)
     root, last = str(tmp_path / "warehouse"), date(2024, 1, 31)
     for as_of in (date(2024, 1, 16), last):
-        DailyRun(spark, sources, root, as_of, datetime(2024, 1, 31), legacy_views=True).run()
+        DailyRun(spark, sources, root, as_of, datetime(2024, 1, 31), legacy_views=True, buckets=8).run()
     newest = Landing(sources, date(2024, 1, 16), last, last)
     assert rows(Warehouse(spark, root).fund_actions) == rows(newest.fund_actions)
 
@@ -196,7 +310,7 @@ def test_legacy_runs_keep_the_newest_fund_views(spark, tmp_path):
 def test_a_run_without_new_rows_gives_empty_tables(spark, tmp_path):
     sources = SampleSources(spark, contract.SMOKE_DIR)
     root = str(tmp_path / "warehouse")
-    counts = run_daily(spark, sources, root, date(2001, 1, 1))
+    counts = run_daily(spark, sources, root, date(2001, 1, 1), buckets=8)
     assert counts["digital_actions"] == counts["summary_year_month"] == 0
     assert counts["member_details"] == counts["arketip"] > 0
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope import constants as K
 from folioscope.functions.ordered import previous_value, running_total
-from folioscope.operators import paths
+from folioscope.operators import path_state, paths
 from tests.frames import at, landed, money, rows
 
 AS_OF = date(2024, 1, 31)
@@ -176,3 +176,69 @@ def test_runs_are_numbered(spark):
     found = paths.event_groups(process, paths.conversion_occurrences(process))
     ordered = found.orderBy("event_time").select("is_new_group", "event_group").collect()
     assert [tuple(r) for r in ordered] == [(1, 1), (0, 1), (1, 2), (1, 3)]
+
+
+def stored(spark, df):
+    return spark.createDataFrame(df.collect(), df.schema)
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("disorder", [0, 90])
+def test_windows_added_to_a_state_equal_one_build(spark, seed, disorder):
+    """Three windows, dealt by arrival; with disorder events arrive up to that many minutes late."""
+    rng = random.Random(seed)
+    history = [(c, *name.split(" - "), when) for c, name, when in random_history(seed, customers=6, size=200)]
+    arrival = [when + timedelta(minutes=rng.randint(0, disorder)) for *_, when in history]
+    cuts = sorted(arrival)[60], sorted(arrival)[130]
+    windows = [[], [], []]
+    for row, came in zip(history, arrival):
+        windows[sum(came >= cut for cut in cuts)].append(row)
+    state = occurrences = None
+    met_hidden = False
+    whole = []
+    for window in windows:
+        whole += window
+        process = process_of(spark, window)
+        added = path_state.add_window(state, occurrences, process)
+        if state is not None:
+            hidden = stored(spark, path_state.hidden(state, process, occurrences))
+            met_hidden |= not hidden.isEmpty()
+            again = path_state.path_state(process_of(spark, whole).join(hidden, "customer_id", "left_semi"))
+            added = path_state.without(added, hidden).unionByName(again)
+        state = stored(spark, added)
+        found = paths.conversion_occurrences(process)
+        occurrences = stored(spark, found if occurrences is None else occurrences.unionByName(found))
+        want = paths.out_path_4_events(process_of(spark, whole))
+        assert rows(path_state.paths_of_state(state, occurrences, date(2023, 7, 31))) == rows(want)
+    assert disorder or not met_hidden
+    assert state.count() < len(whole)
+
+
+def test_state_forgets_what_lies_before_the_bound(spark):
+    events = [
+        event(1, "home - click - a", "2023-11-01 10:00:00"),
+        event(1, "home - click - b", "2023-12-01 10:00:00"),
+        event(1, DEPOSIT, "2023-12-05 10:00:00"),
+        event(2, "home - click - a", "2023-11-01 10:00:00"),
+        event(2, DEPOSIT, "2023-11-05 10:00:00"),
+    ]
+    actions = [(1, K.FUND_BUY, at("2023-12-03 10:00:00"), money(5), "F1"), (1, K.FUND_SELL, at("2023-12-06 10:00:00"), money(5), "F1")]
+    process = process_of(spark, events)
+    state, occurrences = path_state.path_state(process), paths.conversion_occurrences(process)
+    extra = process_of(spark, [], actions)
+    for since in (date(2023, 7, 31), date(2023, 11, 20), date(2023, 12, 4)):
+        bound = at(f"{since} 00:00:00")
+        recent = process_of(spark, [e for e in events if e[-1] >= bound], [a for a in actions if a[2] >= bound])
+        found = path_state.paths_of_state(state, occurrences, since, extra)
+        assert rows(found) == rows(paths.out_path_4_events(recent))
+
+
+def test_a_later_window_reads_new_events_and_the_state_only(spark, tmp_path):
+    for name in ("old", "new"):
+        process_of(spark, [event(1, DEPOSIT, "2024-01-05 10:00:00")]).write.parquet(f"{tmp_path}/{name}")
+    old, new = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("old", "new"))
+    path_state.path_state(old).write.parquet(f"{tmp_path}/state")
+    paths.conversion_occurrences(old).write.parquet(f"{tmp_path}/occurrences")
+    kept = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("state", "occurrences")]
+    files = {f.rsplit("/", 2)[1] for f in path_state.add_window(*kept, new).inputFiles()}
+    assert files == {"state", "occurrences", "new"}
