@@ -68,3 +68,61 @@ def running_total(
     return summed.join(carried, [*keys, CHUNK]).selectExpr(
         *df.columns, f"__sum + coalesce(__carry, 0) AS {name}"
     )
+
+
+def numbered_runs(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    value: str,
+    chunk: Column,
+    per_key: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``previous``, ``is_new`` and ``run``: which run of equal values a row is in.
+
+    Rows go by ``order``, then ``value``; a row begins a run if its value is not the
+    one before, and rows of equal ``order`` share the number reached after all of
+    them.  ``chunk`` must not decrease along ``order``.
+
+    One pass over the rows works within chunks.  What a chunk means for later ones
+    is its first value, its last one and its changes in between; those of
+    neighbouring chunks join into those of both, so one pass over the summaries,
+    a row per chunk, gives the value before each chunk and the number of its first
+    run.  ``per_key`` (a row per key) travels with the summaries; keys it lacks fall out.
+    """
+    keys = list(keys)
+    within = W.partitionBy(*keys, CHUNK).orderBy(order, value)
+    peers = (
+        W.partitionBy(*keys, CHUNK).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    )
+    # Said for both uses of the rows, so that they share one shuffle.
+    known = " AND ".join(f"{name} IS NOT NULL" for name in (*keys, CHUNK))
+    placed = df.withColumn(CHUNK, chunk).filter(known).withColumns(
+        {"__lag": F.lag(value).over(within), "__pos": F.row_number().over(within)}
+    )
+    changed = placed.withColumn("__new", F.when(F.col("__pos") > 1, F.col(value) != F.col("__lag")).cast("int"))
+    summed = changed.withColumn("__run", F.coalesce(F.sum("__new").over(peers), F.lit(0)))
+    ends = summed.withColumns(
+        {"__next": F.lead(F.lit(1)).over(within), "__first": F.first(value).over(within)}
+    )
+    chunks = ends.filter("__next IS NULL").select(
+        *keys, CHUNK, "__first", F.col(value).alias("__last"), F.col("__run").alias("__changes")
+    )
+    if per_key is not None:
+        chunks = chunks.join(per_key, keys)
+    in_order = W.partitionBy(*keys).orderBy(CHUNK)
+    met = chunks.withColumn("__previous", F.lag("__last").over(in_order)).withColumn(
+        "__starts", F.expr("int(__previous IS NULL OR __first != __previous)")
+    )
+    before = in_order.rowsBetween(W.unboundedPreceding, -1)
+    carried = met.withColumn(
+        "__carry", F.coalesce(F.sum(F.col("__changes") + F.col("__starts")).over(before), F.lit(0)) + F.col("__starts")
+    ).drop("__first", "__last", "__changes")
+    more = [] if per_key is None else [c for c in per_key.columns if c not in keys]
+    return summed.join(carried, [*keys, CHUNK]).selectExpr(
+        *df.columns,
+        *more,
+        "CASE WHEN __pos = 1 THEN __previous ELSE __lag END AS previous",
+        "CASE WHEN __pos = 1 THEN __starts ELSE __new END AS is_new",
+        "__carry + __run AS run",
+    )

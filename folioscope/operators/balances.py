@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioscope import constants as K
@@ -38,6 +39,16 @@ def _label() -> Column:
     return F.date_format("month_end", "yyyy/MM").alias("year_month")
 
 
+def _on_latest_day(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows of each group's latest day, all of them if several share it.
+
+    The rank is cut at the first place before the shuffle too, so what travels is
+    the latest day each task has seen and no whole history.
+    """
+    latest = W.partitionBy(*keys).orderBy(F.col("day").desc())
+    return rows.withColumn("__rank", F.rank().over(latest)).filter("__rank = 1").drop("__rank")
+
+
 def monthly_outstandings(
     eod_accounts: DataFrame,
     account_ids: DataFrame,
@@ -49,16 +60,14 @@ def monthly_outstandings(
 ) -> DataFrame:
     """Account balances on each member's last known day of each month.
 
-    All accounts with a balance on that day stay separate rows.  The last day is
-    an aggregate that joins back on member *and* day, so a member with very many
-    balances never comes together in one task.
+    All accounts with a balance on that day stay separate rows.  Balances are read
+    once: each account keeps its latest day of a month before it meets its member,
+    and the member then keeps the latest of those.
     """
     known = _known(_in_currency(eod_accounts, start, end, closed), as_of, legacy)
-    balances = known.join(account_ids, "account_serno").withColumn(
-        "month_end", _month_end(as_of, legacy)
-    )
-    last = balances.groupBy("member_serno", "month_end").agg(F.max("day").alias("day"))
-    return balances.join(last, ["member_serno", "month_end", "day"]).select(
+    dated = known.withColumn("month_end", _month_end(as_of, legacy))
+    latest = _on_latest_day(dated, "account_serno", "month_end").join(account_ids, "account_serno")
+    return _on_latest_day(latest, "member_serno", "month_end").select(
         "customer_id",
         _label(),
         F.col("size").alias("account_volume"),

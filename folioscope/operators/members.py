@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioscope.functions.times import display_timestamp
@@ -32,24 +33,36 @@ def active_account_members(accounts: DataFrame, member_serno: int) -> DataFrame:
     )
 
 
-def members_without_account_sample(members: DataFrame, size: int, seed: int = 42) -> DataFrame:
+def members_without_account_sample(
+    members: DataFrame, size: int, seed: int = 42, digits: int = 4
+) -> DataFrame:
     """A random sample of registered members that have no account yet.
 
     The order is a hash of seed and id, so the same seed draws the same members
-    whatever the partitioning, also when a lost task runs again.
+    whatever the partitioning, also when a lost task runs again.  A histogram of
+    the hash's first hexadecimal ``digits`` gives the first value below which
+    enough members lie; the others are filtered out before anything is sorted, so
+    hardly more than ``size`` rows travel.
     """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col("serno").cast("string")))
+    candidates = members.filter(
+        (F.col("status") == "A")
+        & (F.col("account_type") == "named")
+        & F.col("registration_time").isNotNull()
+        & (F.col("mobile_number_verified") == "1")
+        & F.col("account_ready_time").isNull()
+    ).select("serno", F.coalesce(draw, F.lit("")).alias("draw"))
+    counts = candidates.groupBy(F.substring("draw", 1, digits).alias("head")).count()
+    enough = (
+        counts.withColumn("before", F.sum("count").over(W.orderBy("head")) - F.col("count"))
+        .filter(F.col("before") < size)
+        .agg(F.max("head").alias("head"))
+    )
     return (
-        members.filter(
-            (F.col("status") == "A")
-            & (F.col("account_type") == "named")
-            & F.col("registration_time").isNotNull()
-            & (F.col("mobile_number_verified") == "1")
-            & F.col("account_ready_time").isNull()
-        )
-        .select("serno")
-        .orderBy(draw, "serno")
+        candidates.filter(F.substring("draw", 1, digits) <= enough.scalar())
+        .orderBy("draw", "serno")
         .limit(size)
+        .select("serno")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from folioscope import constants as K
 from folioscope.functions import times
 from folioscope.functions.joins import salted_join
-from folioscope.functions.ordered import previous_value, running_total
+from folioscope.functions.ordered import numbered_runs
 
 HISTORY = ["customer_id"]
 PATH = ["customer_id", "seq"]
@@ -179,35 +179,45 @@ def prior_events(process: DataFrame, occurrences: DataFrame) -> DataFrame:
     return found.select(*PATH, "event_time", "event_type")
 
 
-def event_prev(process: DataFrame, chunk: str = "hour") -> DataFrame:
+def event_prev(process: DataFrame, chunk: str = "day") -> DataFrame:
     """Each event with the one before it, per customer by time (name breaks ties)."""
-    return previous_value(
-        named_events(process),
-        HISTORY,
-        ["event_time", "event_type"],
-        F.date_trunc(chunk, "event_time"),
-        "event_type",
-        "prev_event",
+    runs = numbered_runs(
+        named_events(process), HISTORY, "event_time", "event_type", F.date_trunc(chunk, "event_time")
     )
+    return runs.withColumnRenamed("previous", "prev_event").drop("is_new", "run")
 
 
-def event_groups(process: DataFrame, occurrences: DataFrame, chunk: str = "hour") -> DataFrame:
+def event_groups(process: DataFrame, occurrences: DataFrame, chunk: str = "day") -> DataFrame:
     """Number the runs of equal events before each kind of conversion.
 
     A run starts where the event differs from the one before it; events at the
-    same time share the number reached after all of them.
+    same time share the number reached after all of them.  Events before a
+    conversion are the beginning of the customer's history, so a run has the same
+    number there as in the whole history: runs are numbered once per customer, and
+    the latest conversions come along with the chunks' summaries.
     """
-    flagged = event_prev(process, chunk).selectExpr(
-        "customer_id",
+    seqs = [seq for seq, *_ in K.CONVERSION_EVENTS]
+    last = {seq: F.max(F.when(F.col("seq") == seq, F.col("converted_timestamp"))) for seq in seqs}
+    bounds = occurrences.groupBy(*HISTORY).agg(
+        F.array(*[F.struct(F.lit(seq).alias("seq"), at.alias("at")) for seq, at in last.items()]).alias("bounds")
+    )
+    runs = numbered_runs(
+        named_events(process),
+        HISTORY,
         "event_time",
         "event_type",
-        "int(prev_event IS NULL OR event_type != prev_event) AS is_new_group",
-    )
-    flagged = before_conversion(flagged, latest_conversions(occurrences)).select(
-        *PATH, "event_time", "event_type", "is_new_group"
+        F.date_trunc(chunk, "event_time"),
+        bounds,
     )
-    return running_total(
-        flagged, PATH, "event_time", F.date_trunc(chunk, "event_time"), "is_new_group", "event_group"
+    return runs.withColumn(
+        "bound", F.explode(F.filter("bounds", lambda b: F.col("event_time") < b["at"]))
+    ).select(
+        "customer_id",
+        "bound.seq",
+        "event_time",
+        "event_type",
+        F.col("is_new").alias("is_new_group"),
+        F.col("run").alias("event_group"),
     )
 
 

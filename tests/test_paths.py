@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioscope import constants as K
-from folioscope.functions.ordered import previous_value, running_total
+from folioscope.functions.ordered import numbered_runs, previous_value, running_total
 from folioscope.operators import path_state, paths
 from tests.frames import at, landed, money, rows
 
@@ -165,6 +165,16 @@ def test_chunked_windows_equal_plain_windows(spark, chunk):
     plain = df.withColumn("total", F.sum("value").over(part.orderBy("t")))
     chunked = running_total(df, ["customer_id"], "t", pieces, "value", "total")
     assert rows(chunked) == rows(plain)
+    order = part.orderBy("t", "name")
+    plain = df.withColumn("previous", F.lag("name").over(order)).withColumn(
+        "is_new", F.expr("int(previous IS NULL OR previous != name)")
+    )
+    plain = plain.withColumn("run", F.sum("is_new").over(part.orderBy("t")))
+    assert rows(numbered_runs(df, ["customer_id"], "t", "name", pieces)) == rows(plain)
+    some = df.groupBy("customer_id").agg(F.max("t").alias("bound")).filter("customer_id <> 2")
+    assert rows(numbered_runs(df, ["customer_id"], "t", "name", pieces, some), *plain.columns, "bound") == rows(
+        plain.join(some, "customer_id"), *plain.columns, "bound"
+    )
 
 
 def test_runs_are_numbered(spark):

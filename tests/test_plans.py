@@ -6,8 +6,9 @@ from functools import cache
 import pytest
 
 import __spark_entry__ as contract
-from folioscope.plans.catalog import QUERIES
-from folioscope.operators import features
+from folioscope.functions.joins import SALTS, heavy_keys, salted_join
+from folioscope.plans.catalog import QUERIES, Fixture
+from folioscope.operators import features, members, paths
 from folioscope.operators.events import digital_actions
 from tests.frames import at, landed
 
@@ -53,19 +54,88 @@ def shuffled(spark):
 
 
 def test_no_join_is_forced_to_broadcast(shuffled):
-    """With Spark's own threshold off, no broadcast remains: nothing is hinted."""
-    for name in ("arketip", "summary_year_month", "out_path_4_events", "fund_actions"):
+    """With Spark's own threshold off, only lists cut to a fixed length are still broadcast."""
+    for name in ("arketip", "summary_year_month", "fund_actions", "event_groups"):
         assert "BroadcastHashJoin" not in shuffled(name)
-
-
-def test_histories_are_shuffled_in_chunks(shuffled):
-    """No shuffle brings a customer's events together: each also hashes by chunk or salt."""
-    for name in ("event_prev", "event_groups"):
-        assert any("__chunk" in keys for keys in exchanges(shuffled(name)))
-    assert {"customer_id", "__salt"} in exchanges(shuffled("event_groups"))
-    windows = re.findall(r"Window \[sum\(is_new_group[^\n]*\], \[([^\]]*)\], \[", shuffled("event_groups"))
-    assert windows and all("__chunk" in keys for keys in windows)
-    assert {"customer_id", "seq", "__chunk"} in exchanges(shuffled("event_groups"))
+    for name in ("out_path_4_events", "prior_events"):
+        lines = shuffled(name).splitlines()
+        sent = [k for k, line in enumerate(lines) if "BroadcastExchange" in line]
+        below = [next(x for x in lines[k + 1 :] if not re.search(r"- (Project|Filter) ", x)) for k in sent]
+        assert sent and all("TakeOrderedAndProject(limit=10000" in x for x in below)
+
+
+def ran(spark, df) -> str:
+    """The plan that ran in the end, with nothing broadcast by size."""
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        df.collect()
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
+    return plan_of(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name, most", [("event_groups", 4), ("event_prev", 3)])
+def test_histories_are_read_once_and_shuffled_in_chunks(spark, tmp_path, name, most):
+    """One shuffle of the rows by customer and day, used twice; further ones move a row per chunk or customer."""
+    fixture = Fixture(spark, contract.SMOKE_DIR)
+    fixture.stored_process.write.parquet(f"{tmp_path}/process")
+    process = spark.read.parquet(f"{tmp_path}/process")
+    if name == "event_prev":
+        df = paths.event_prev(process)
+    else:
+        df = paths.event_groups(process, paths.conversion_occurrences(process))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ran(spark, df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall("ReusedExchange", plan)) >= 1
+    plan = re.sub(r"ReusedExchange[^\n]*", "", plan)
+    own = exchanges(re.sub(r"Exchange hashpartitioning\(event_field[^\n]*", "", plan))  # of three literal rows
+    assert len(own) <= most and {"customer_id", "__chunk"} in own
+    assert len(re.findall("FileScan parquet", plan)) <= (2 if name == "event_groups" else 1)
+    assert not re.search(r"Window [^\n]*\[event_type|Exchange hashpartitioning\(customer_id#\d+L, event", plan)
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    """Of two heavy keys the one with four times the rows is dealt to four times the tasks."""
+    hot = "CASE WHEN id % 20 < 12 THEN 1 WHEN id % 20 < 15 THEN 2 ELSE id END AS k"
+    large = spark.range(8000).selectExpr(hot, "id AS v")
+    small = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b'), (2, 'c'), (3999, 'd'), (1000000, 'e') AS t(k, w)")
+    small = small.selectExpr("CAST(k AS BIGINT) AS k", "w")
+    found = salted_join(large, small, "k", ["v"], target=100)
+    want = large.join(small, "k")
+    assert found.count() == want.count() and found.exceptAll(want).isEmpty()
+    salts = {r["k"]: r[SALTS] for r in heavy_keys(large, "k", 100).collect()}
+    assert salts == {1: 48, 2: 12}
+    assert {r["k"]: r[SALTS] for r in heavy_keys(large.limit(4000), "k", 100, most=1).collect()}.keys() <= {1, 2}
+    few = [r[0] for r in heavy_keys(large, "k", 10_000).collect()]
+    assert few == [] and salted_join(large, small, "k", ["v"]).count() == want.count()
+
+
+def test_balances_are_read_once(shuffled):
+    plan = shuffled("monthly_outstandings")
+    assert len(re.findall(r"FileScan parquet[^\n]*lineitem", plan)) == 1
+    assert re.search(r"WindowGroupLimit[^\n]*Partial", plan)
+
+
+def test_sample_filters_before_it_sorts(spark):
+    """A draw of 20 of 20,000: what is sorted is hardly more than the sample."""
+    members_table = spark.range(20_000).selectExpr(
+        "id AS serno", "'A' AS status", "'named' AS account_type", "TIMESTAMP_NTZ '2023-01-01 00:00:00' AS registration_time",
+        "'1' AS mobile_number_verified", "CAST(NULL AS TIMESTAMP_NTZ) AS account_ready_time",
+    )
+    sample = members.members_without_account_sample(members_table, 20)
+    drawn = members_table.selectExpr("serno", "md5(concat('42:', CAST(serno AS STRING))) AS d").orderBy("d").limit(20)
+    assert [r[0] for r in sample.collect()] == [r[0] for r in drawn.collect()]
+    plan = plan_of(sample)
+    assert re.search(r"TakeOrderedAndProject\(limit=20", plan) and re.search(r"Filter [^\n]*substring[^\n]*ubquery", plan)
+    head = drawn.agg({"d": "max"}).first()[0][:4]
+    below = members_table.filter(f"substring(md5(concat('42:', CAST(serno AS STRING))), 1, 4) <= '{head}'")
+    assert 20 <= below.count() <= 25
 
 
 def test_daily_trend_reads_the_balances_once_and_windows_over_days(shuffled):
@@ -86,7 +156,9 @@ def test_paths_are_aggregated_in_spread_groups(shuffled):
     plan = shuffled("out_path_4_events")
     assert {"customer_id", "__salt"} in exchanges(plan)
     assert {"customer_id", "seq", "event_type"} in exchanges(plan)
-    assert {"customer_id"} not in exchanges(plan)
+    # By customer alone only counts per customer travel.
+    for found in re.finditer(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\)[^\n]*\n[^\n]*", plan):
+        assert "partial_count(1)" in found[0]
 
 
 def test_spark_can_split_a_hot_member(spark):
@@ -120,7 +192,7 @@ def test_spark_can_split_a_hot_member(spark):
 
 
 def test_top_n_is_limited_before_the_shuffle(shuffled):
-    for name in ("last_3_events", "out_path_4_events", "otonombuy"):
+    for name in ("last_3_events", "out_path_4_events", "otonombuy", "monthly_outstandings"):
         assert re.search(r"WindowGroupLimit[^\n]*Partial", shuffled(name))
 
 
@@ -154,7 +226,8 @@ def test_matrix_reads_each_landed_table_once_or_twice(spark, tmp_path):
     assert not any("occupation" in columns or "amount" in columns for columns in scans)
 
 
-def test_summary_joins_add_no_shuffle(shuffled):
+def test_summary_joins_add_no_shuffle(shuffled, plans):
     """Five groupings, five shuffles on the keys; the joins find them in place."""
-    by_key = [k for k in exchanges(shuffled("summary_year_month")) if {"year", "month"} <= k]
-    assert by_key == [{"customer_id", "year", "month"}] * 5
+    for plan in (shuffled("summary_year_month"), plans("summary_year_month")):
+        by_key = [k for k in exchanges(plan) if {"year", "month"} <= k]
+        assert by_key == [{"customer_id", "year", "month"}] * 5
