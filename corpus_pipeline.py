@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from folioscope.llm import packing, stages
 from folioscope.llm.common import table
 from folioscope.llm.queries import RANKS, SPECIALS
-from folioscope.session import shared_dir
+from folioscope.session import remove, scratch, shared_dir
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +41,20 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; tables between stages go to the shared folder."""
+    """All stages over ``documents``; tables between stages go to the shared folder.
+
+    A stage's table goes when the next one is written, and so do the checkpoints of
+    a stage; the last table is the result.  One run at a time in a session.
+    """
     folder = shared_dir(spark)
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, f"{folder}/{before}")
+        docs, before = spark.read.parquet(f"{folder}/{name}"), name
     return docs
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,3 +49,31 @@ def use_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` write to the shared folder."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(_shared_root(spark))
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    files, place = _folder(spark, path)
+    files.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Checkpoints made inside go at the end; nothing that reads them may outlive it."""
+    use_checkpoints(spark)
+    files, place = _folder(spark, spark.sparkContext.getCheckpointDir())
+
+    def names() -> set[str]:
+        return {s.getPath().getName() for s in files.listStatus(place)} if files.exists(place) else set()
+
+    before = names()
+    try:
+        yield
+    finally:
+        for name in names() - before:
+            remove(spark, f"{place}/{name}")
