@@ -13,17 +13,23 @@ Compatibility is found by plain merging once per pair and remembered.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Sequence
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from folioscope.llm.common import per_row
+from folioscope.llm.common import SHORT, per_row, pre_tokens
 from folioscope.llm.vocabulary import load_ranks
 
-KNOWN_PIECES = 300_000  # remembered per worker, then forgotten; speed only
+# Remembered per worker, then forgotten; speed only.  Pieces have SHORT characters at most.
+KNOWN_PIECES = 300_000
 KNOWN_PAIRS = 1_000_000
+FLAT = 1 << 16
+WINDOW = 1 << 10
 
 
 def merged(piece: str, rank: dict[str, int]) -> list[str]:
@@ -47,56 +53,74 @@ def reachable(rank: dict[str, int]) -> list[str]:
 
 
 class Backtracker:
-    """Encodes one pre-token at a time; ``rank`` maps Latin-1 strings to ids."""
+    """Encodes one pre-token at a time; ``rank`` maps Latin-1 strings to ids.
+
+    It holds the row so far, in a flat array for a long pre-token, and the places
+    that led nowhere.
+    """
 
     def __init__(self, rank: dict[str, int], tokens: list[str]):
         self.rank = rank
         self.matches = ahocorasick.Automaton()
-        known = set(tokens)
-        for token in tokens:
-            self.matches.add_word(token, token)
+        self.spelled = {rank[token]: token for token in tokens}
+        self.size = {number: len(token) for number, token in self.spelled.items()}
+        self.widest = max(self.size.values(), default=0)
+        self.window = max(WINDOW, 2 * self.widest)
+        for number, token in self.spelled.items():
+            self.matches.add_word(token, number)
         self.matches.make_automaton()
-        self.shorter = {}
-        for token in tokens:
+        self.shorter: dict[int, int] = {}
+        for number, token in self.spelled.items():
             for end in range(len(token) - 1, 0, -1):
-                if token[:end] in known:
-                    self.shorter[token] = token[:end]
+                if rank.get(token[:end]) in self.size:
+                    self.shorter[number] = rank[token[:end]]
                     break
-        self.compatible: dict[tuple[str, str], bool] = {}
-
-    def fits(self, left: str, right: str) -> bool:
-        pair = (left, right)
-        known = self.compatible.get(pair)
-        if known is None:
-            if len(self.compatible) >= KNOWN_PAIRS:
-                self.compatible.clear()
-            known = self.compatible[pair] = merged(left + right, self.rank) == [left, right]
+        self.compatible: dict[int, bool] = {}
+
+    def fits(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of both gives just these two."""
+        both = [self.spelled[left], self.spelled[right]]
+        if len(self.compatible) >= KNOWN_PAIRS:
+            self.compatible.clear()
+        known = self.compatible[left << 32 | right] = merged("".join(both), self.rank) == both
         return known
 
-    def encode(self, piece: str) -> list[int]:
+    def encode(self, piece: str) -> Sequence[int]:
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
         many = len(piece)
-        longest = [""] * many
-        for end, token in self.matches.iter(piece):
-            longest[end + 1 - len(token)] = token
-        alive = [True] * (many + 1)
-        row: list[str] = []
-        at, token = 0, longest[0] if many else ""
+        size, shorter, compatible, search = self.size, self.shorter, self.compatible, self.matches.iter_long
+        row, window = array("i") if many > FLAT else [], self.window
+        dead: set[int] = set()  # places from which no row leads to the end
+        ahead, until = None, 0  # the longest token here, then those after it as long as it is taken
+        at, last, token = 0, -1, -1
         while at < many:
-            end = at + len(token)
-            if alive[end] and (not row or self.fits(row[-1], token)):
+            if token < 0:
+                if ahead is None or at >= until:
+                    # A window, as each search copies its text; its last matches may be cut short.
+                    ahead = search(piece[at : at + window])
+                    until = at + window - self.widest if at + window < many else many
+                token = next(ahead)[1]
+            end = at + size[token]
+            fits = end not in dead
+            if fits and last >= 0:
+                fits = compatible.get(last << 32 | token)
+                if fits is None:
+                    fits = self.fits(last, token)
+            if fits:
                 row.append(token)
-                at = end
-                token = longest[at] if at < many else ""
-            elif token in self.shorter:
-                token = self.shorter[token]
-            else:
-                alive[at] = False
+                at, last, token = end, token, -1
+                continue
+            ahead = None
+            token = shorter.get(token)
+            while token is None:  # nothing fits here: take back the token before this place
+                dead.add(at)
                 token = row.pop()
-                at -= len(token)
-        return [self.rank[token] for token in row]
+                at -= size[token]
+                last = row[-1] if row else -1
+                token = shorter.get(token)
+        return row
 
 
 def encode_documents(
@@ -106,6 +130,8 @@ def encode_documents(
 
     Each match of ``pattern`` is encoded by itself; there are no special tokens.
     NULL counts as empty and gives no ids.  Rows that repeat an id get a row each.
+    A task holds a text and its ids, a few thousand pre-tokens and what is
+    remembered, which has a bound in bytes.
     """
     rank = {token.decode("latin-1"): value for token, value in load_ranks(ranks_file).items()}
     tokens = reachable(rank)
@@ -114,14 +140,23 @@ def encode_documents(
         encoder, split = Backtracker(rank, tokens), regex.compile(pattern)
         known: dict[str, bytes] = {}
 
+        def encode_piece(piece: str) -> bytes:
+            found = encoder.encode(piece.encode().decode("latin-1"))
+            return np.array(found, dtype="<u4").tobytes()
+
         def encode(words: str) -> bytes:
-            pieces = split.findall(words)
-            if len(known) > KNOWN_PIECES:
-                known.clear()
-            for piece in set(pieces).difference(known):
-                raw = piece.encode().decode("latin-1")
-                known[piece] = np.array(encoder.encode(raw), dtype="<u4").tobytes()
-            return b"".join(map(known.__getitem__, pieces))
+            ids = bytearray()
+            for pieces in pre_tokens(split, words):
+                if len(known) > KNOWN_PIECES:
+                    known.clear()
+                long = {}
+                for piece in set(pieces).difference(known):
+                    (known if len(piece) <= SHORT else long)[piece] = encode_piece(piece)
+                if long:
+                    ids += b"".join(known[x] if x in known else long[x] for x in pieces)
+                else:
+                    ids += b"".join(map(known.__getitem__, pieces))
+            return bytes(ids)
 
         return lambda texts: [[encode(words or "") for words in texts]]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from folioscope.session import use_checkpoints
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROWS_AT_ONCE = 128
+SHORT = 64  # characters of a pre-token worth remembering
+PIECES_AT_ONCE = 1 << 16
 Columns = dict[str, tuple[str, pa.DataType]]
 
 
@@ -31,6 +34,16 @@ def ascii_lower(text):
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+def pre_tokens(split, words: str) -> Iterator[list[str]]:
+    """The matches of a pattern, so many at a time that a very long text takes no more memory."""
+    if len(words) <= PIECES_AT_ONCE:
+        yield split.findall(words)
+        return
+    found = split.finditer(words)
+    while some := [m.group() for m in islice(found, PIECES_AT_ONCE)]:
+        yield some
+
+
 def per_row(
     rows: DataFrame, keep: list[str], value: str, begin: Callable[[], Callable], columns: Columns
 ) -> DataFrame:
