@@ -5,11 +5,17 @@ cascade of transducers reads the classes of a clause: each rewrites them and
 passes weights on to the next.
 
 * insult: a hostile word is an insult of the weight learned for its stem;
-* target: an insult near a person counts more;
-* threat: intent, then violence, then a person is a threat;
+* target: an insult near a person, before or after it, counts more;
+* threat: violence and soon after it a person is a threat, if intent leads to it or
+  nobody is said to do it; violence that somebody is told to have done is none;
 * negation: an insult or a threat soon after a negation counts less;
 * reported speech: what follows a verb of speech, or stands in quotes, counts less.
 
+A clause ends with a full stop or the like.  A comma or a colon inside it ends what
+target, threat and negation were waiting for, while speech goes on: what follows
+"she said," is still reported.  The machines read a clause as a stream, each in
+one state, so a clause may be of any length.
+
 What is scored is the matched clause, not the word.  Stems of hostile words come
 from labelled training texts (words and beginnings of words that mark toxic
 texts) besides a short fixed list; a logistic regression on sums over clauses
@@ -21,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -32,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from folioscope.llm.common import checkpointed
+from folioscope.llm.common import SHORT, checkpointed
 
 FIT_ROWS = 20_000
 FIT_PARTS = 32  # tasks that learn from them
@@ -64,68 +70,102 @@ SPEECH = (
 ).split()
 INTENT = "will shall gonna going must should werde will vais voy".split()
 
-WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”«»]")
-CLAUSE_END = re.compile(r"[.!?;:,\n|]")
+WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”«»,:]")
+CLAUSE_END = re.compile(r"[.!?;\n|]")
+
+Symbols = Iterable[tuple[str, float]]
 
 
 @dataclass
 class Transducer:
     """A deterministic finite-state machine over classes.
 
-    ``moves[state, class]`` is ``(next state, class written, factor of the weight)``;
-    where there is none, ``(state, ANY)`` holds, and else the symbol passes unchanged.
+    ``moves[state, class]`` is ``(next state, class written, factor of the weight, weight
+    added)``; where there is none, ``(state, ANY)`` holds, and else the symbol passes unchanged.
     """
 
-    moves: dict[tuple[str, str], tuple[str, str | None, float]] = field(default_factory=dict)
+    moves: dict[tuple[str, str], tuple[str, str | None, float, float]] = field(default_factory=dict)
 
-    def read(self, symbols: list[tuple[str, float]]) -> list[tuple[str, float]]:
-        state, written = "start", []
+    def read(self, symbols: Symbols) -> Iterator[tuple[str, float]]:
+        state, moves = "start", self.moves
         for name, weight in symbols:
-            move = self.moves.get((state, name)) or self.moves.get((state, "ANY"))
+            move = moves.get((state, name)) or moves.get((state, "ANY"))
             if move is None:
-                written.append((name, weight))
+                yield name, weight
                 continue
-            state, out, factor = move
-            written.append((out or name, weight * factor))
-        return written
-
-
-def _countdown(trigger: str, states: int, hits: dict[str, tuple[str, float]]) -> Transducer:
-    """After ``trigger``, for so many further words, ``hits`` are rewritten and weighted."""
-    machine = Transducer({("start", trigger): (f"left{states}", None, 1.0)})
-    for k in range(states, 0, -1):
-        after = f"left{k - 1}" if k > 1 else "start"
-        machine.moves[f"left{k}", "ANY"] = (after, None, 1.0)
-        machine.moves[f"left{k}", trigger] = (f"left{states}", None, 1.0)
-        for name, (out, factor) in hits.items():
-            machine.moves[f"left{k}", name] = (after, out, factor)
+            state, out, factor, added = move
+            yield out or name, weight * factor + added
+
+    def waits(self, state: str, words: int, hits: dict[str, tuple[str, float, float]], over: str = "start"):
+        """From ``state`` on, for so many further words, ``hits`` are rewritten; then comes ``over``."""
+        for k in range(words, 0, -1):
+            here = state if k == words else f"{state}{k}"
+            after = f"{state}{k - 1}" if k > 1 else over
+            self.moves[here, "ANY"] = (after, None, 1.0, 0.0)
+            self.moves[here, "BREAK"] = ("start", None, 1.0, 0.0)
+            for name, (out, factor, added) in hits.items():
+                self.moves[here, name] = (after, out, factor, added)
+
+    def begins(self, state: str, words: int, trigger: str, into: str):
+        """Reading ``trigger`` in ``state``, however far it has waited, leads ``into`` another."""
+        for k in range(words, 0, -1):
+            self.moves[state if k == words else f"{state}{k}", trigger] = (into, None, 1.0, 0.0)
+
+
+def _after(trigger: str, words: int, hits: dict[str, tuple[str, float, float]]) -> Transducer:
+    """After ``trigger``, for so many further words, ``hits`` are rewritten."""
+    machine = Transducer({("start", trigger): ("near", None, 1.0, 0.0)})
+    machine.waits("near", words, hits)
+    machine.begins("near", words, trigger, "near")
     return machine
 
 
 def _threat() -> Transducer:
-    """Intent, then violence within four words: a threat."""
-    return _countdown("INTENT", 4, {"VIOLENCE": ("THREAT", 1.0)})
+    """Violence, then a person within four words; who does it must not be named unless intent is."""
+    machine = Transducer(
+        {
+            ("start", "PERSON"): ("subject", None, 1.0, 0.0),
+            ("start", "INTENT"): ("intent", None, 1.0, 0.0),
+            ("start", "VIOLENCE"): ("armed", None, 1.0, 0.0),
+        }
+    )
+    hit = {"PERSON": ("THREAT", 1.0, 4.0)}
+    machine.waits("subject", 4, {})
+    machine.begins("subject", 4, "PERSON", "subject")
+    machine.begins("subject", 4, "INTENT", "intent")
+    machine.begins("subject", 4, "VIOLENCE", "start")
+    machine.waits("intent", 4, {})
+    machine.begins("intent", 4, "INTENT", "intent")
+    machine.begins("intent", 4, "VIOLENCE", "armed")
+    machine.waits("armed", 4, hit)
+    for k in range(4, 0, -1):  # one person is enough
+        here = "armed" if k == 4 else f"armed{k}"
+        machine.moves[here, "PERSON"] = ("start", "THREAT", 1.0, 4.0)
+        machine.moves[here, "VIOLENCE"] = ("armed", None, 1.0, 0.0)
+    return machine
 
 
 def _speech() -> Transducer:
     """Reported until the clause ends, once a verb of speech or a quote has been read."""
     machine = Transducer(
-        {("start", "SPEECH"): ("told", None, 1.0), ("start", "QUOTE"): ("quoted", None, 1.0)}
+        {("start", "SPEECH"): ("told", None, 1.0, 0.0), ("start", "QUOTE"): ("quoted", None, 1.0, 0.0)}
     )
-    machine.moves["quoted", "QUOTE"] = ("start", None, 1.0)
+    machine.moves["quoted", "QUOTE"] = ("start", None, 1.0, 0.0)
     for state in ("told", "quoted"):
         for name in ("INSULT", "AIMED", "THREAT"):
-            machine.moves[state, name] = (state, "REPORTED", 0.5)
+            machine.moves[state, name] = (state, "REPORTED", 0.5, 0.0)
     return machine
 
 
 CASCADE = (
-    _countdown("PERSON", 5, {"INSULT": ("AIMED", 1.25)}),
+    _after("PERSON", 5, {"INSULT": ("AIMED", 1.25, 0.0)}),
+    _after("INSULT", 3, {"PERSON": ("AIMED", 1.0, 0.5)}),
     _threat(),
-    _countdown("NEGATION", 3, {x: ("DENIED", 0.4) for x in ("INSULT", "AIMED", "THREAT")}),
+    _after("NEGATION", 3, {x: ("DENIED", 0.4, 0.0) for x in ("INSULT", "AIMED", "THREAT")}),
     _speech(),
 )
 HEAVY = {"INSULT", "AIMED", "THREAT", "DENIED", "REPORTED"}
+KNOWN_WORDS = 200_000  # remembered per worker, then forgotten; speed only
 
 
 def _fixed_classes() -> dict[str, str]:
@@ -134,6 +174,7 @@ def _fixed_classes() -> dict[str, str]:
     classes |= {word: "SPEECH" for word in SPEECH}
     classes |= {word: "INTENT" for word in INTENT}
     classes |= {mark: "QUOTE" for mark in "\"“”«»"}
+    classes |= {mark: "BREAK" for mark in ",:"}
     return classes | {word: "VIOLENCE" for word in VIOLENCE}
 
 
@@ -144,6 +185,7 @@ class Grammar:
         self.stems = stems
         self.longest = max((len(s) for s in stems), default=0)
         self.classes = _fixed_classes()
+        self.known: dict[str, tuple[str, float]] = {}
         self.heads = ahocorasick.Automaton()
         for stem in stems:
             self.heads.add_word(stem.removeprefix("="), len(stem.removeprefix("=")))
@@ -159,28 +201,28 @@ class Grammar:
         return found
 
     def symbol(self, word: str) -> tuple[str, float]:
-        weight = self.weight(word)
-        if weight:
-            return "INSULT", weight
-        name = self.classes.get(word, "WORD")
-        return name, 4.0 if name == "VIOLENCE" else 0.0
+        found = self.known.get(word)
+        if found is None:
+            weight = self.weight(word)
+            found = ("INSULT", weight) if weight else (self.classes.get(word, "WORD"), 0.0)
+            if len(self.known) >= KNOWN_WORDS:
+                self.known.clear()
+            if len(word) <= SHORT:
+                self.known[word] = found
+        return found
 
-    def clauses(self, text: str) -> Iterator[list[tuple[str, float]]]:
+    def clauses(self, text: str) -> Iterator[Symbols]:
         """Classes of each clause in which some hostile word begins."""
         done = 0
         for end, size in self.heads.iter(text):
             start = end - size + 1
             if start < done or (start and text[start - 1].isalpha()):
                 continue
-            before = [m.end() for m in CLAUSE_END.finditer(text, max(done, start - 400), start)]
+            for before in CLAUSE_END.finditer(text, done, start):
+                done = before.end()
             after = CLAUSE_END.search(text, start)
-            stop = after.start() if after else len(text)
-            begin = before[-1] if before else max(done, start - 400)
-            stop = min(stop, start + 400)
-            while stop < len(text) and text[stop].isalpha():
-                stop += 1
-            done = max(stop, end + 1)
-            yield [self.symbol(word) for word in WORD.findall(text[begin:done])]
+            begin, done = done, after.start() if after else len(text)
+            yield (self.symbol(word[0]) for word in WORD.finditer(text, begin, done))
 
     def features(self, text: str | None) -> list[float]:
         """Sums over matched clauses: full, discounted, heaviest, number, threats."""
@@ -189,15 +231,22 @@ class Grammar:
         for symbols in self.clauses((text or "").lower()):
             for machine in CASCADE:
                 symbols = machine.read(symbols)
-            heavy = [(name, weight) for name, weight in symbols if name in HEAVY and weight > 0]
-            score = sum(w for name, w in heavy if name not in ("DENIED", "REPORTED"))
-            discounted = sum(w for name, w in heavy if name in ("DENIED", "REPORTED"))
-            if not heavy:
+            score = discounted = 0.0
+            threat = False
+            for name, weight in symbols:
+                if weight <= 0 or name not in HEAVY:
+                    continue
+                threat |= name == "THREAT"
+                if name in ("DENIED", "REPORTED"):
+                    discounted += weight
+                else:
+                    score += weight
+            if not score and not discounted:
                 continue
             full, less = full + score, less + discounted
             heaviest = max(heaviest, score + discounted)
             matched += 1
-            threats += any(name == "THREAT" for name, _ in heavy)
+            threats += threat
         return [math.log1p(full), math.log1p(less), math.log1p(heaviest), math.log1p(matched), float(threats)]
 
 
