@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.joins import salted_join
 from folioscope.llm.common import checkpointed, per_row
 from folioscope.llm.components import connected_components, join_labels, smallest_of_component
 
@@ -30,6 +31,7 @@ NODE = 8192  # fingerprints per node that the first depth aims at
 LARGE = 8 * NODE  # a pair of nodes with more goes deeper
 FRONT = 1 << 17  # pairs of nodes held at a time inside a task
 WORDS_AT_ONCE = 1 << 15
+SAME = 1024  # rows of one fingerprint that a task labels
 
 
 def fingerprint(text: str | None, words: int, seed: int = 42) -> int:
@@ -224,23 +226,23 @@ def near_duplicates(
     smallest fingerprint reachable, as a signed long, and the component is the
     smallest id of the class.  Classes may share that id if rows repeat it, so rows
     are grouped by class.  A NULL text counts as empty: fingerprint zero, linked
-    like any other.  Rows that repeat an id get a row each.  A NULL id takes part
-    in no link; such a row gets class and component of its fingerprint, NULL if no
-    other row has one.  An empty table gives an empty result.  ``text_hash`` is
-    ``xxhash64`` of the text as it stands, to find the row again.
+    like any other.  Rows that repeat an id get a row each.  A row without id links
+    like any other; a class of such rows only has a NULL component.  An empty table
+    gives an empty result.  ``text_hash`` is ``xxhash64`` of the text as it stands,
+    to find the row again.
     """
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")
     )
     marked = checkpointed(fingerprints(rows, words, ["id", "h"]))
-    points = checkpointed(marked.groupBy("fp").agg(F.min("id").alias("id")).filter("id IS NOT NULL"))
+    points = checkpointed(marked.groupBy("fp").agg(F.min("id").alias("id")))
     nodes = points.selectExpr("fp", "fp AS id")
     groups = connected_components(near_links(nodes, distance, node, large))
     named = smallest_of_component(groups, points.selectExpr("fp AS node", "id"))
     classes = points.join(named, points["fp"] == named["node"], "left").selectExpr(
         "fp", "coalesce(component, fp) AS class", "coalesce(label, id) AS component_id"
     )
-    return marked.join(classes, "fp", "left").selectExpr(
+    return salted_join(marked, classes, "fp", ["id", "h"], SAME).selectExpr(
         f"id AS {key}",
         "lpad(lower(hex(fp)), 16, '0') AS fingerprint",
         "component_id",

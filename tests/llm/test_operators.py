@@ -525,3 +525,117 @@ def test_the_grammar_scores_clauses():
     assert full("she said he is an idiot")[0] == 0
     assert grammar.features("they will kill you")[4] == 1
     assert full("idiotic days") == [0, 0]
+
+
+def test_the_grammar_reads_persons_speech_and_threats():
+    grammar = toxicity.Grammar({"=idiot": 1.0})
+    full = lambda text: grammar.features(text)[0]
+    less = lambda text: grammar.features(text)[1]
+    threats = lambda text: grammar.features(text)[4]
+    assert full("they will kill the lights") == threats("they will kill the lights") == 0
+    assert threats("kill them all") == threats("I will kill you") == threats("we should all burn them") == 1
+    assert threats("they kill people in that film") == threats("kill, then they left") == 0
+    for said in ("he said: you are an idiot", "she said, you are an idiot", "\"you are an idiot\" it read"):
+        assert full(said) == 0 and less(said) > 0
+    assert full("he left. you are an idiot") > full("an idiot") and less("he said so. you are an idiot") == 0
+    assert full("an idiot you are") > full("an idiot") and full("an idiot, you see") == full("an idiot")
+    assert less("you are not, idiot") == 0 < less("you are not an idiot")
+
+
+@pytest.mark.parametrize("between", [5, 1000, 200_000])
+def test_clauses_have_any_length(between):
+    grammar = toxicity.Grammar({"=idiot": 1.0})
+    text = "he said " + "word " * between + "you idiot"
+    assert grammar.features(text)[:2] == pytest.approx([0, np.log1p(1.25 / 2)])
+    assert grammar.features(text.replace("said", "left"))[:2] == pytest.approx([np.log1p(1.25), 0])
+
+
+def plain_cascade(words, weights):
+    """The same grammar as rules over all words of a clause at once."""
+    kinds = [toxicity._fixed_classes().get(w, "WORD") if w not in weights else "INSULT" for w in words]
+    heavy = {}
+    for k, kind in enumerate(kinds):
+        back = lambda n: [x for x in reversed(kinds[max(0, k - n) : k])]  # noqa: B023, E731
+
+        def seen(name, n):
+            for other in back(n):  # noqa: B023
+                if other == "BREAK":
+                    return False
+                if other == name:
+                    return True
+            return False
+
+        if kind == "INSULT":
+            heavy[k] = weights[words[k]] * (1.25 if seen("PERSON", 5) else 1.0)
+    return heavy
+
+
+def test_insults_and_targets_equal_plain_rules():
+    rng = np.random.default_rng(11)
+    weights = {"=idiot": 1.0, "=scum": 3.0}
+    grammar = toxicity.Grammar(weights)
+    vocabulary = ["idiot", "scum", "you", "the", "day", "walks", "quickly", ",", "red"]
+    for _ in range(300):
+        words = [str(w) for w in rng.choice(vocabulary, size=rng.integers(1, 14))]
+        symbols = iter([grammar.symbol(w) for w in words])
+        found = list(toxicity.CASCADE[0].read(symbols))
+        want = plain_cascade([w if w != "," else "," for w in words], {k[1:]: v for k, v in weights.items()})
+        # A person keeps waiting for an insult: one insult does not end it.
+        assert {k: w for k, (_, w) in enumerate(found) if w} == pytest.approx(want)
+
+
+@pytest.fixture(scope="module")
+def multi():
+    raw = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=raw, special_tokens={})
+    rank = {token.decode("latin-1"): value for token, value in raw.items()}
+    return library, bpe.Backtracker(rank, bpe.reachable(rank))
+
+
+def resident():
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * 4096 / 1e6
+
+
+def test_bpe_of_long_pieces(multi):
+    library, encoder = multi
+    rng = np.random.default_rng(4)
+    for size in (1, 7, 900, 1024, 1025, 5000, 70_000):
+        piece = "".join(rng.choice(list("etaoinshrdlué日z"), size=size))
+        raw = piece.encode()
+        assert list(encoder.encode(raw.decode("latin-1"))) == library._encode_bytes(raw)
+    for window in (0, 300):  # windows that cut matches short everywhere
+        encoder.window = max(2 * encoder.widest, window)
+        assert list(encoder.encode(raw.decode("latin-1"))) == library._encode_bytes(raw)
+    before = resident()
+    long = "".join(rng.choice(list("etaoinshrdlu"), size=200_000)) * 20
+    ids = encoder.encode(long)
+    assert "".join(encoder.spelled[x] for x in ids) == long and resident() - before < 200
+
+
+def test_documents_with_very_many_or_long_pieces(spark, multi):
+    library, _ = multi
+    words = " ".join(str(k) for k in range(80_000)) + " " + "etaoin" * 3000 + " x" * 70_000
+    frame = spark.createDataFrame([(1, words), (2, "a" * 100), (3, None)], "doc_id long, text string")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = bpe.encode_documents(frame, ranks, public_tokenizers.PATTERN).collect()
+    for row, text in zip(sorted(found, key=lambda r: r.doc_id), (words, "a" * 100, "")):
+        assert np.frombuffer(row.tokens, dtype="<u4").tolist() == library.encode_ordinary(text)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    few, many = (
+        {r.doc_id: (r.n_pretokens, r.n_tokens) for r in token_counts.count_tokens(
+            frame, ranks, public_tokenizers.PATTERN, nodes=nodes).collect()}
+        for nodes in (50, 1_000_000)
+    )
+    assert few == many and few[3] == (0, 0) and few[1][0] > 150_000
+
+
+def test_long_words_are_scored_like_short_ones():
+    scores = token_counts.zipf_scores(bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    trie = token_counts.ForwardTrie(scores)
+    rng = np.random.default_rng(9)
+    for size in (1, 2, 60, 700, 5000):
+        word = "".join(rng.choice(list("etaoinshrdlu é日"), size=size)).encode()
+        assert trie.count_long(word) == trie.count(word)
+    before = resident()
+    assert trie.count_long(b"etaoinshrdlu" * 100_000) > 100_000 and resident() - before < 60
