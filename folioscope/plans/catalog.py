@@ -84,6 +84,14 @@ def _write_and_read(f: Fixture) -> DataFrame:
     return sinks.read_table(f.spark, path).drop(sinks.LOAD)
 
 
+def _id_collisions(f: Fixture) -> DataFrame:
+    """With a mapping in which some random ids equal the real id of a member that has none."""
+    mapping = f.source["serno_mapping"].selectExpr(
+        "actual_serno", "CASE WHEN actual_serno % 50 = 0 THEN actual_serno + 49 ELSE random_serno END AS random_serno"
+    )
+    return members.id_collisions(members.customer_ids(f.source["members"], mapping))
+
+
 def _upload_log(f: Fixture) -> DataFrame:
     """Daily counts, logged twice: first without the fund views, then complete."""
 
@@ -159,7 +167,7 @@ EXTRACTION: dict[str, Query] = {
         f.source["serno_mapping"],
         strict=True,
     ),
-    "id_collisions": lambda f: members.id_collisions(f.landed.ids),
+    "id_collisions": _id_collisions,
     "member_details": lambda f: f.landed.member_details,
     "bias_results": lambda f: f.landed.bias_results,
     "fund_details": lambda f: f.landed.fund_details,
@@ -283,7 +291,9 @@ FEATURES: dict[str, Query] = {
 METRICS: dict[str, Query] = {
     "activity_score_scaled": lambda f: metrics.activity_score_scaled(f.landed.actions),
     "hour_bucket_pct": lambda f: metrics.hour_bucket_pct(f.landed.actions),
-    "hour_bucket_pct_filled": lambda f: metrics.hour_bucket_pct(f.landed.actions, fill_missing=True),
+    "hour_bucket_pct_filled": lambda f: metrics.hour_bucket_pct(
+        f.landed.actions.filter(F.hour("timestamp").between(5, 22)), fill_missing=True
+    ),
     "fund_balance_ratio_rows": lambda f: metrics.fund_balance_ratio_rows(
         f.landed.monthly_outstandings
     ),

@@ -278,7 +278,9 @@ def _extraction() -> dict[str, str]:
  FROM accounts a LEFT JOIN serno_mapping x ON x.actual_serno = a.member_serno""",
         "pseudonymize_strict": """SELECT x.random_serno AS customer_id, a.serno AS account_serno
  FROM accounts a JOIN serno_mapping x ON x.actual_serno = a.member_serno""",
-        "id_collisions": "SELECT customer_id FROM ids GROUP BY customer_id HAVING count(*) > 1",
+        "id_collisions": """SELECT CASE WHEN x.actual_serno IS NULL THEN i.member_serno
+ WHEN x.actual_serno % 50 = 0 THEN x.actual_serno + 49 ELSE x.random_serno END AS customer_id
+ FROM ids i LEFT JOIN serno_mapping x ON x.actual_serno = i.member_serno GROUP BY 1 HAVING count(*) > 1""",
         "member_details": "SELECT * FROM member_details",
         "bias_results": "SELECT * FROM bias_results",
         "fund_details": "SELECT * FROM fund_details",
@@ -375,6 +377,12 @@ def _metrics() -> dict[str, str]:
         for n in HOURS
     )
     hours = _months("actions", TS, HOUR_COUNTS)
+    # Without nights, so that one part of the day is absent everywhere.
+    daytime = _months("actions", TS, HOUR_COUNTS, f"{HOUR} BETWEEN 5 AND 22")
+    filled = ", ".join(
+        f"coalesce(printf('%.2f%%', {_d(n)} / ({HOUR_TOTAL}) * 100), '0%') AS {n.upper()}_ACTIVITY_PERCENTAGE"
+        for n in HOURS
+    )
     fields = ["customer_id", "action_type", "fund_code", TS]
     row = " || chr(31) || ".join([f"'{KEYWORD}'", *(f"CAST({f} AS VARCHAR)" for f in fields)])
     digest_sums = ", ".join(
@@ -390,7 +398,10 @@ def _metrics() -> dict[str, str]:
  round_even({_d('n - min(n) OVER ()')} / (max(n) OVER () - min(n) OVER ()) * 100 * 100, 0) / 100 AS ACTIVITY_SCORE
  FROM ({per_month}) b""",
         "hour_bucket_pct": f"""SELECT cust_id AS CUST_ID, year AS "YEAR", month AS "MONTH", {shares} FROM ({hours}) b""",
-        "hour_bucket_pct_filled": f"""SELECT cust_id AS CUST_ID, year AS "YEAR", month AS "MONTH", {shares} FROM ({hours}) b""",
+        "hour_bucket_pct_filled": f"""SELECT c.cust_id AS CUST_ID, y.year AS "YEAR", m.month AS "MONTH", {filled}
+ FROM (SELECT DISTINCT cust_id FROM ({daytime}) a) c CROSS JOIN (SELECT DISTINCT year FROM ({daytime}) a) y
+ CROSS JOIN (SELECT DISTINCT month FROM ({daytime}) a) m LEFT JOIN ({daytime}) b
+ ON b.cust_id = c.cust_id AND b.year = y.year AND b.month = m.month""",
         "fund_balance_ratio_rows": f"""SELECT customer_id AS CUST_ID, CAST(left(year_month, 4) AS INT) AS "YEAR",
  CAST(right(year_month, 2) AS INT) AS "MONTH", {_d('fund_volume')} / {_d('account_volume')} AS FUND_BALANCE_RATIO
  FROM monthly_outstandings""",
