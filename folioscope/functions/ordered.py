@@ -50,16 +50,29 @@ def previous_value(
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, chunk: Column, value: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    chunk: Column,
+    value: str,
+    name: str,
+    apart: bool = False,
 ) -> DataFrame:
-    """``sum(value)`` up to and with the current ``order`` value; equal ones share the sum."""
+    """``sum(value)`` up to and with the current ``order`` value; equal ones share the sum.
+
+    With ``apart`` the sum ends at the row itself; rows of equal ``order`` go by
+    their other columns.
+    """
     keys = list(keys)
     within = _within(df, keys, [order])
-    peers = (
-        W.partitionBy(*keys, CHUNK)
-        .orderBy(order)
-        .rangeBetween(W.unboundedPreceding, W.currentRow)
-    )
+    if apart:
+        peers = within.rowsBetween(W.unboundedPreceding, W.currentRow)
+    else:
+        peers = (
+            W.partitionBy(*keys, CHUNK)
+            .orderBy(order)
+            .rangeBetween(W.unboundedPreceding, W.currentRow)
+        )
     summed = df.withColumn(CHUNK, chunk).withColumn("__sum", F.sum(value).over(peers))
     before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     carried = _last_rows(summed, within).select(
