@@ -1,19 +1,22 @@
 """Chat conversations as training texts of limited size.
 
-Prefix sums of the turns' tokens cut a conversation at turn borders.  A turn
-that lies within one stretch of ``room`` tokens joins the other turns there; a
-turn across a border of two stretches stands alone.  So a window's new turns
-fit the room, or are one turn; and no window depends on the one before, so a
-conversation of any length is cut in parallel.  The room is the budget less the
-system turn and less the history.
-
-Each window repeats the system turn and the turns that end at most ``history``
+Prefix sums of the turns' tokens cut a conversation at turn borders.  The room
+of a window is the budget less the system turn and less the history.  Windows
+are cut one after the other, each as full as the room allows, within stretches
+of 64 rooms; stretches are cut without regard to each other, so a conversation
+of any length is cut in parallel and at most one window in 64 ends early.  A
+turn longer than the room goes in parts that each fill a room, so no window is
+longer than the budget and each has something new.
+
+Each window repeats the system turn and the turns that lie within ``history``
 tokens before it.  Repeated turns are masked: each assistant turn is under the
 loss once, where it is new.
 
-Template: ``<turn role>\\n`` text ``</turn>\\n``.  In roles and texts a backslash
-becomes ``\\s``, ``<`` becomes ``\\l`` and ``>`` becomes ``\\g``, so only the
-template writes ``<`` and every text reads back as it was.
+Template: ``<turn role>\\n`` text ``</turn>\\n``.  A turn in parts ends each but
+the last with ``</part>`` and begins each but the first with ``<part role>``.  In
+roles and texts a backslash becomes ``\\s``, ``<`` becomes ``\\l`` and ``>`` becomes
+``\\g``, so only the template writes ``<`` and every text reads back as it was.
+Tokens are those of the formatted text; an escape is one.
 """
 
 from __future__ import annotations
@@ -24,12 +27,16 @@ from pyspark.sql import functions as F
 from folioscope.functions.ordered import running_total
 from folioscope.llm.common import checkpointed
 
-TOKEN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
-MARKS = 4  # tokens of a turn's template
+TOKEN = r"\\[slg]|\p{L}+|\p{N}+|[^\s\p{L}\p{N}\\]+"
+# The same token after blanks, without a way back into it.
+STEP = r"(?:\s*+(?:\\[slg]|\p{L}++|\p{N}++|[^\s\p{L}\p{N}\\]++))"
+MARKS = 6  # tokens of a turn's template, the role not counted
 BUDGET = 1024
 HISTORY = 256
 CHUNK = 64  # turns per chunk of the prefix sums
-OPEN, HEAD, CLOSE = "<turn ", ">\n", "</turn>\n"
+STRETCH = 64  # rooms per stretch of windows
+TURN, PART, HEAD = "<turn ", "<part ", ">\n"
+LAST, MORE = "</turn>\n", "</part>\n"
 KEYS = ["absent", "conv"]
 
 
@@ -46,9 +53,9 @@ def unescaped(text: Column) -> Column:
 
 
 def _turns(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Cleaned rows; ``place`` orders the turns of a conversation, NULL turns first."""
+    """Escaped rows; ``place`` orders the turns of a conversation, NULL turns first."""
     raw, who = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(role), F.lit(""))
-    return rows.select(
+    said = rows.select(
         F.col(conv).isNull().alias("absent"),
         F.coalesce(F.col(conv).cast("long"), F.lit(0)).alias("conv"),
         F.struct(
@@ -56,12 +63,48 @@ def _turns(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataF
             who.alias("role"),
             F.xxhash64(raw).alias("text"),
         ).alias("place"),
-        who.alias("role"),
-        raw.alias("text"),
-        (F.regexp_count(raw, F.lit(TOKEN)) + MARKS).cast("long").alias("tokens"),
+        escaped(who).alias("role"),
+        escaped(raw).alias("text"),
+    )
+    return said.select(
+        "*",
+        (F.regexp_count("role", F.lit(TOKEN)) + MARKS).cast("long").alias("marks"),
+        F.regexp_count("text", F.lit(TOKEN)).cast("long").alias("words"),
+    )
+
+
+def _in_parts(turns: DataFrame) -> DataFrame:
+    """A row per part; a turn that fits the room is one part."""
+    pattern = F.concat(F.lit(rf"\G({STEP}{{"), F.col("step"), F.lit(r"}+)(?=\s*+\S)"))
+    parts = F.split(F.regexp_replace(F.col("text"), pattern, F.lit("$1<")), "<")
+    pieces = F.when(F.col("parts") > 1, parts).otherwise(F.array("text"))
+    return turns.select(
+        *KEYS, "role", "leads", "room", "parts", "since", "until", "marks", "step",
+        F.posexplode(pieces).alias("part", "text"),
+    ).selectExpr(
+        *KEYS, "role", "text", "leads", "room",
+        "part = 0 AS opens",
+        "part = parts - 1 AS closes",
+        "since + part * (step + marks) AS since",
+        "least(until, since + (part + 1) * (step + marks)) AS until",
     )
 
 
+def _starts(parts: DataFrame, budget: int) -> DataFrame:
+    """Where the windows of each stretch begin: at its first part, then at each part that does
+    not fit.  A conversation's first window repeats nothing and may fill the budget."""
+    # A stretch is 64 rooms long and each part takes a template's tokens: its list is bounded.
+    sized = parts.groupBy(*KEYS, "stretch", "room").agg(
+        F.sort_array(F.collect_list(F.struct("until", "since"))).alias("ends")
+    )
+    cuts = (
+        "aggregate(ends, named_struct('at', ends[0].since, 'all', array(ends[0].since)), (s, x) ->"
+        f" IF(x.until <= s.at + IF(s.at = 0, {budget}L, room), s,"
+        " IF(x.since = s.at, s, named_struct('at', x.since, 'all', array_append(s.all, x.since)))), s -> s.all)"
+    )
+    return sized.selectExpr(*KEYS, "stretch", "room", f"{cuts} AS starts")
+
+
 def windows(
     rows: DataFrame,
     budget: int = BUDGET,
@@ -76,68 +119,77 @@ def windows(
     ``window`` orders the windows of a conversation, ``repeated`` counts the
     leading turns repeated from earlier, ``loss`` lists ``(start, length)`` in
     code points of ``formatted``.  A system turn is the conversation's first
-    turn with the role ``system``; a later one is an ordinary turn.  NULL texts
+    turn with the role ``system``, if it takes half of the budget without
+    history at most; a longer or later one is an ordinary turn.  A window is
+    longer than the budget only if a role alone is.  NULL texts
     and roles count as empty, rows with a NULL ``conv_id`` as one conversation.
     Rows of the same turn are ordered by role and text; whole rows repeated are
     turns of their own.  An empty table gives an empty result.
     """
     if not 0 <= history < budget:
         raise ValueError("history must be shorter than the budget")
+    fresh = budget - history
     turns = _turns(rows, conv, turn, role, text)
-    first = turns.groupBy(*KEYS).agg(F.min(F.struct("place", "text", "tokens")).alias("first"))
-    system = first.filter("first.place.role = 'system'")
-    least = max(history, 1)  # history reaches back one stretch at most
-    sized = turns.join(system, KEYS, "left").select(
-        *KEYS,
-        "place",
-        "role",
-        "text",
-        F.expr("CASE WHEN place <=> first.place THEN 0L ELSE tokens END").alias("tokens"),
-        F.expr(f"greatest({budget - history} - coalesce(first.tokens, 0), {least})").alias("room"),
-        F.expr("place <=> first.place").alias("is_system"),
+    size = F.col("marks") + F.col("words")
+    first = turns.groupBy(*KEYS).agg(F.min(F.struct("place", "text", size.alias("tokens"))).alias("first"))
+    system = first.filter(f"first.place.role = 'system' AND first.tokens * 2 <= {fresh}")
+    sized = (
+        turns.join(system, KEYS, "left")
+        .withColumn("room", F.expr(f"{fresh} - coalesce(first.tokens, 0)"))
+        .withColumn("step", F.expr("greatest(room - marks, 1)"))
+        .withColumn("parts", F.expr("greatest((words + step - 1) DIV step, 1)"))
+        .withColumn("tokens", F.expr("words + parts * marks"))
+        .withColumn("leads", F.expr("place <=> first.place"))
+        .drop("first", "words")
     )
     chunk = F.floor(F.col("place.turn") / CHUNK)
-    summed = running_total(sized, KEYS, "place", chunk, "tokens", "until")
-    cut = checkpointed(
-        summed.withColumn("since", F.col("until") - F.col("tokens")).selectExpr(
-            "*",
-            "since DIV room AS cell",
-            "greatest(until - 1, since) DIV room AS last_cell",
-        )
+    summed = running_total(sized, KEYS, "place", chunk, "tokens", "until", apart=True)
+    parts = _in_parts(summed.withColumn("since", F.col("until") - F.col("tokens")))
+    cut = checkpointed(parts.withColumn("stretch", F.expr(f"since DIV (room * {STRETCH})")))
+    starts = _starts(cut, budget)
+    span = [*KEYS, "window"]
+    item = "struct({kind} AS kind, until, role, text, opens, closes) AS item"
+    new = (
+        cut.join(starts.drop("room"), [*KEYS, "stretch"])
+        .withColumn("window", F.expr("array_max(filter(starts, s -> s <= since))"))
+        .selectExpr(*span, item.format(kind=2))
     )
-    span = [*KEYS, "cell", "last_cell"]
-    spans = cut.groupBy(*span).agg(
-        F.min("since").alias("since"), F.max("is_system").alias("has_system")
-    )
-    item = "struct({kind} AS kind, place, role, text) AS item"
-    new = cut.selectExpr(*span, item.format(kind=2))
-    back = cut.filter(f"NOT is_system AND tokens <= {history}").selectExpr(
-        *KEYS, "place", "role", "text", "since AS from_token", "until AS to_token",
+    # The first window has the system turn as a new one, and nothing before it.
+    later = starts.selectExpr(*KEYS, "room", "explode(starts) AS window").filter("window > 0")
+    back = cut.filter(f"NOT (leads AND since = 0) AND until - since <= {history}").selectExpr(
+        *KEYS, "role", "text", "opens", "closes", "since", "until",
         f"explode(sequence(until DIV room, (since + {history}) DIV room)) AS cell",
     )
     before = (
-        spans.join(back, [*KEYS, "cell"])
-        .filter(f"to_token <= since AND since <= from_token + {history}")
+        later.withColumn("cell", F.expr("window DIV room"))
+        .join(back, [*KEYS, "cell"])
+        .filter(f"until <= window AND window <= since + {history}")
         .selectExpr(*span, item.format(kind=1))
     )
     again = (
-        spans.filter("NOT has_system")
-        .join(system, KEYS)
-        .selectExpr(*span, "first.place AS place", "'system' AS role", "first.text AS text")
+        later.join(system, KEYS)
+        .selectExpr(*span, "0L AS until", "'system' AS role", "first.text AS text", "true AS opens", "true AS closes")
         .selectExpr(*span, item.format(kind=0))
     )
     gathered = (
         new.union(before).union(again).groupBy(*span).agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
-    heads = F.transform("items", lambda x: F.concat(F.lit(OPEN), escaped(x["role"]), F.lit(HEAD)))
-    bodies = F.transform("items", lambda x: escaped(x["text"]))
-    laid = gathered.withColumns({"heads": heads, "bodies": bodies}).withColumns(
+    heads = F.transform(
+        "items",
+        lambda x: F.concat(F.when(x["opens"], TURN).otherwise(PART), x["role"], F.lit(HEAD)),
+    )
+    bodies = F.transform("items", lambda x: x["text"])
+    tails = F.transform("items", lambda x: F.when(x["closes"], LAST).otherwise(MORE))
+    laid = gathered.withColumns({"heads": heads, "bodies": bodies, "tails": tails}).withColumns(
         {
-            "turns": F.zip_with("heads", "bodies", lambda h, b: F.concat(h, b, F.lit(CLOSE))),
+            "turns": F.transform(
+                F.arrays_zip("heads", "bodies", "tails"),
+                lambda x: F.concat(x["heads"], x["bodies"], x["tails"]),
+            ),
             "repeated": F.size(F.filter("items", lambda x: x["kind"] < 2)),
         }
     )
-    starts = F.transform(
+    places = F.transform(
         F.sequence(F.lit(0), F.size("turns") - 1),
         lambda k: F.struct(
             (
@@ -149,12 +201,12 @@ def windows(
         ),
     )
     loss = F.transform(
-        F.filter(starts, lambda x: x["learn"]),
+        F.filter(places, lambda x: x["learn"]),
         lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")),
     )
     return laid.select(
         F.expr("CASE WHEN NOT absent THEN conv END").alias(conv),
-        F.struct("cell", "last_cell").alias("window"),
+        "window",
         "repeated",
         F.array_join("turns", "").alias("formatted"),
         loss.alias("loss"),
@@ -167,13 +219,22 @@ def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     ``(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)``.
     A digest needs the conversation's text as one value.
     """
-    parts = F.slice(F.split("formatted", OPEN), F.col("repeated") + 2, F.size(F.split("formatted", OPEN)))
-    tail = len(CLOSE)
+    begins = "<(?=turn |part )"
+    parts = F.slice(F.split("formatted", begins), F.col("repeated") + 2, F.size(F.split("formatted", begins)))
+    head, tail = len(TURN) - 1, len(LAST)
+
+    def opens(part: Column) -> Column:
+        return F.startswith(part, F.lit(TURN[1:]))
 
     def spoken(part: Column) -> Column:
-        role = F.substring_index(part, ">", 1)
-        text = F.substring(part, F.length(role) + 3, F.length(part) - F.length(role) - 2 - tail)
-        return F.concat(unescaped(role), F.lit("\n"), unescaped(text), F.lit("\n"))
+        role = F.substring_index(F.substring(part, F.lit(head + 1), F.length(part)), ">", 1)
+        begin = F.length(role) + head + len(HEAD)
+        text = F.substring(part, begin + 1, F.length(part) - begin - tail)
+        return F.concat(
+            F.when(opens(part), F.concat(unescaped(role), F.lit("\n"))).otherwise(""),
+            unescaped(text),
+            F.when(F.endswith(part, F.lit(LAST)), "\n").otherwise(""),
+        )
 
     under = F.transform(
         "loss", lambda x: unescaped(F.substring(F.col("formatted"), x["start"] + 1, x["length"]))
@@ -181,7 +242,7 @@ def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     read = formatted.withColumn("parts", parts).select(
         conv,
         "window",
-        F.size("parts").alias("n"),
+        F.size(F.filter("parts", opens)).alias("n"),
         F.array_join(F.transform("parts", spoken), "").alias("said"),
         F.array_join(under, "").alias("learned"),
         F.length("formatted").alias("chars"),
