@@ -1,7 +1,8 @@
 """Shards from a consistent-hash ring with virtual nodes and bounded loads.
 
 The ring is cut into equal cells.  Each shard owns the arcs that end at its
-virtual nodes, each row the cell that its key hashes to.  A shard takes the rows
+virtual nodes, each row the cell that its key hashes to; of rows with the same key
+each copy has its number in the key, so no key is bound to one cell.  A shard takes the rows
 of its own arcs in ring order until it is full; rows beyond that go clockwise to
 the next shards with room.  The room adds up to the number of rows, so in the
 end all shards are full: row counts differ by one at most, whatever the arcs.
@@ -25,6 +26,7 @@ from folioscope.llm.common import checkpointed
 
 CELLS = 1 << 13
 NODES = 64  # virtual nodes per shard
+COPIES = 1 << 16  # copies of a row that are numbered in one task
 
 
 def _owners(shards: int, nodes: int, cells: int) -> tuple[list[int], list[int]]:
@@ -108,6 +110,27 @@ def shard_rows(
     )
 
 
+def numbered_copies(rows: DataFrame, block: int = COPIES) -> DataFrame:
+    """``rows`` with ``copy``, from 0 among equal rows.
+
+    Equal rows are counted, per task first, and written out again in blocks that
+    go to different tasks; so no task sorts or holds all copies of a row.
+    """
+    names = rows.columns
+    counted = rows.groupBy(*names).agg(F.count("*").alias("__n"))
+    few = counted.filter(f"__n <= {block}").selectExpr(*names, "explode(sequence(0L, __n - 1)) AS copy")
+    many = (
+        counted.filter(f"__n > {block}")
+        .selectExpr(*names, "__n", f"explode(sequence(0L, (__n - 1) DIV {block})) AS __block")
+        .repartition("__block", *names)
+        .selectExpr(
+            *names,
+            f"explode(sequence(__block * {block}, least(__n, (__block + 1) * {block}) - 1)) AS copy",
+        )
+    )
+    return few.unionByName(many)
+
+
 def shard_documents(
     docs: DataFrame,
     key: str = "doc_id",
@@ -120,7 +143,9 @@ def shard_documents(
 
     Size is the text's UTF-8 bytes plus 16, a NULL text has none.  The law is
     ``rows``: counts of the shards are at most one apart.  Under it the other
-    rows matter, so ``grown_shard`` is NULL.  Repeated ids are rows of their own.
+    rows matter, so ``grown_shard`` is NULL.  Repeated ids are rows of their own,
+    and id, size, checksum and copy choose the cell: neither many rows of one id
+    nor rows without id crowd one.
     """
     raw = F.coalesce(F.col(text), F.lit(""))
     sized = docs.select(
@@ -128,7 +153,8 @@ def shard_documents(
         (F.octet_length(raw) + 16).cast("long").alias("size"),
         F.crc32(F.encode(raw, "UTF-8")).alias("text_crc32"),
     )
-    return shard_rows(sized, [key], [key, "text_crc32", "size"], shards, nodes, cells).select(
+    place = [key, "text_crc32", "size", "copy"]
+    return shard_rows(numbered_copies(sized), place, place, shards, nodes, cells).select(
         key,
         "size",
         "text_crc32",
