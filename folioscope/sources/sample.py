@@ -1,8 +1,8 @@
 """The source tables, derived from the generated test tables.
 
 The texts run in Spark and, for checking, in another SQL engine; only zone-free
-timestamp literals (``{ts}``) and literal lists (``{pick_...}``) are spelled
-differently.
+timestamp literals (``{ts}``), literal lists (``{pick_...}``) and fund codes
+(``CODE[number]``) are spelled differently.
 """
 
 from __future__ import annotations
@@ -55,13 +55,17 @@ EVENT_CATALOGUE = (
 SPARK_LIST = ("element_at(array(", "), k % 32 + 1)")
 OTHER_LIST = ("list_extract([", "], k % 32 + 1)")
 
+# A fund code of three digits and letters, per engine.
+SPARK_CODE = r"lpad(conv(CAST(\1 AS STRING), 10, 36), 3, '0')"
+OTHER_CODE = r"to_base(CAST(\1 AS BIGINT), 36, 3)"
 
-def _spelled(text: str, timestamp: str, pick: tuple[str, str]) -> str:
+
+def _spelled(text: str, timestamp: str, pick: tuple[str, str], code: str) -> str:
     """The view in one engine's spelling."""
     for position, part in enumerate(("view", "action", "detail")):
         listed = ", ".join(f"'{event[position]}'" for event in EVENT_CATALOGUE)
         text = text.replace(f"{{pick_{part}}}", listed.join(pick))
-    return text.replace("{ts}", timestamp)
+    return re.sub(r"CODE\[(.*?)\]", code, text.replace("{ts}", timestamp))
 
 
 VIEWS = {
@@ -82,18 +86,18 @@ SELECT c_custkey AS actual_serno, 5000000000000 + (c_custkey * 7919 + 13) % 1000
 FROM {customer} WHERE c_custkey % 50 <> 49
 """,
     "funds": """
-SELECT concat('F', lpad(CAST(k AS STRING), 2, '0')) AS code, CAST(1 + sizes % 7 AS INT) AS risk_value, category,
+SELECT CODE[k] AS code, CAST(1 + sizes % 7 AS INT) AS risk_value, category,
  CASE WHEN k < 10 OR type = 'ECONOMY' THEN 'Katılım' WHEN type = 'PROMO' THEN 'Otonom Portföy' ELSE type END AS asset_class
-FROM (SELECT p_partkey % 100 AS k, SUM(p_size) AS sizes, MIN(p_brand) AS category, MIN_BY(p_type, p_partkey) AS type
+FROM (SELECT p_partkey % 46656 AS k, SUM(p_size) AS sizes, MIN(p_brand) AS category, MIN_BY(p_type, p_partkey) AS type
  FROM {part} GROUP BY 1) p
 """,
     "fund_lists": """
-SELECT DATE '2024-01-01' + CAST(floor(p_partkey / 100) % 5 AS INT) AS day, concat('F', lpad(CAST(p_partkey % 100 AS STRING), 2, '0')) AS fund_code,
- CASE WHEN (p_partkey % 100) % 5 = 0 AND p_size > 10 THEN 'Popular' ELSE 'New' END AS list_type FROM {part}
+SELECT DATE '2024-01-01' + CAST(floor(p_partkey / 100) % 5 AS INT) AS day, CODE[p_partkey % 46656] AS fund_code,
+ CASE WHEN p_partkey % 5 = 0 AND p_size > 10 THEN 'Popular' ELSE 'New' END AS list_type FROM {part}
 """,
     "activity": """
 SELECT event_id, member_serno, {pick_view} AS view_name, {pick_action} AS activity,
- CASE WHEN k % 32 IN (3,4,5,6) THEN concat({pick_detail}, ',F', lpad(CAST(event_id % (CASE WHEN member_serno % 10 = 3 THEN 10 ELSE 100 END) AS STRING), 2, '0')) ELSE {pick_detail} END AS details,
+ CASE WHEN k % 32 IN (3,4,5,6) THEN concat({pick_detail}, ',', CODE[event_id % (CASE WHEN member_serno % 10 = 3 THEN 10 ELSE 100 END)]) ELSE {pick_detail} END AS details,
  client_time, server_time FROM (SELECT event_id, user_id AS member_serno, CAST(substring(props, 7, length(props) - 7) AS INT) AS k,
  ts AS client_time, ts + INTERVAL '2' SECOND AS server_time FROM {events}) e
 """,
@@ -111,18 +115,18 @@ SELECT o_orderkey AS serno, CAST(floor(o_custkey / 10) AS BIGINT) AS account_ser
  CASE o_orderpriority WHEN '1-URGENT' THEN 'CIN' WHEN '2-HIGH' THEN 'COU' WHEN '4-NOT SPECIFIED' THEN 'SEL' ELSE 'BUY' END AS tx_type,
  {ts} '2023-11-01 00:00:00' + ((o_orderkey * 37) % 131040) * INTERVAL '1' MINUTE AS tx_time,
  CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
- CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN concat('F', lpad(CAST((o_orderkey * 7) % 100 AS STRING), 2, '0')) END AS fund_code FROM {orders}
+ CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN CODE[(o_orderkey * 7) % 100] END AS fund_code FROM {orders}
 """,
     "fund_orders": """
 SELECT l_orderkey * 10 + l_linenumber AS serno, CAST(floor(o_custkey / 10) AS BIGINT) AS portfolio_serno,
  CASE WHEN l_returnflag = 'R' THEN 'C' ELSE 'E' END AS status, CASE WHEN l_linestatus = 'O' THEN 'U' ELSE 'S' END AS cancelled_by,
  {ts} '2023-11-01 00:00:00' + ((l_orderkey * 41) % 131040) * INTERVAL '1' MINUTE AS cancel_time,
- CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, concat('F', lpad(CAST(l_partkey % 100 AS STRING), 2, '0')) AS fund_code
+ CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CODE[l_partkey % 46656] AS fund_code
  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """,
     "eod_holdings": """
 SELECT CAST(floor(o_custkey / 10) AS BIGINT) + CASE WHEN l_linenumber % 2 = 0 AND CAST(floor(o_custkey / 10) AS BIGINT) % 4 = 0 THEN 2000000000000 ELSE 0 END AS portfolio_serno,
- concat('F', lpad(CAST(l_partkey % (CASE WHEN CAST(floor(o_custkey / 10) AS BIGINT) % 10 = 3 THEN 10 ELSE 20 END) AS STRING), 2, '0')) AS fund_code, 'TRY' AS currency,
+ CODE[l_partkey % (CASE WHEN CAST(floor(o_custkey / 10) AS BIGINT) % 10 = 3 THEN 10 ELSE 20 END)] AS fund_code, 'TRY' AS currency,
  DATE '2023-11-01' + CAST((l_orderkey * 3 + l_suppkey) % 92 AS INT) AS day, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS size
  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4
 """,
@@ -155,7 +159,7 @@ def tables_used(name: str) -> list[str]:
 
 def sql_text(name: str) -> str:
     """The view as plain SQL over the test tables' own names."""
-    text = _spelled(VIEWS[name], "TIMESTAMP", OTHER_LIST)
+    text = _spelled(VIEWS[name], "TIMESTAMP", OTHER_LIST, OTHER_CODE)
     return re.sub(r"\{(\w+)\}", r"\1", text).strip()
 
 
@@ -169,7 +173,7 @@ class SampleSources(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             base = {t: self._base(t) for t in tables_used(name)}
-            text = _spelled(VIEWS[name], "TIMESTAMP_NTZ", SPARK_LIST)
+            text = _spelled(VIEWS[name], "TIMESTAMP_NTZ", SPARK_LIST, SPARK_CODE)
             self._made[name] = self.spark.sql(text, **base)
         return self._made[name]
 
