@@ -92,6 +92,14 @@ def _id_collisions(f: Fixture) -> DataFrame:
     return members.id_collisions(members.customer_ids(f.source["members"], mapping))
 
 
+def _interested_fund_count_pd(f: Fixture) -> DataFrame:
+    """With fund views laid over two years, as those of the test tables are of one month."""
+    views = f.landed.fund_actions.withColumn(
+        "timestamp", F.expr("timestamp - make_ym_interval(0, int(customer_id % 24))")
+    )
+    return metrics.interested_fund_count_pd(views)
+
+
 def _upload_log(f: Fixture) -> DataFrame:
     """Daily counts, logged twice: first without the fund views, then complete."""
 
@@ -302,7 +310,7 @@ METRICS: dict[str, Query] = {
         f.landed.monthly_outstanding_funds
     ),
     "fund_transaction_volume_pd": lambda f: metrics.fund_transaction_volume_pd(f.landed.actions),
-    "interested_fund_count_pd": lambda f: metrics.interested_fund_count_pd(f.landed.fund_actions),
+    "interested_fund_count_pd": _interested_fund_count_pd,
     "interested_fund_risk_pd": lambda f: metrics.interested_fund_risk_pd(
         f.landed.fund_actions, f.landed.fund_details
     ),

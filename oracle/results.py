@@ -414,8 +414,10 @@ def _metrics() -> dict[str, str]:
             fund_code="FUND_CODE",
             v="FUND_TRANSACTION_VOLUME",
         ),
-        "interested_fund_count_pd": f"""SELECT CAST(year({TS}) AS INT) AS "YEAR", CAST(month({TS}) AS INT) AS "MONTH",
- action_type AS CUST_ID, count(fund_code) AS INTERESTED_FUND_COUNT FROM fund_actions WHERE action_type = 'open' GROUP BY ALL""",
+        "interested_fund_count_pd": f"""SELECT CAST(year(viewed) AS INT) AS "YEAR", CAST(month(viewed) AS INT) AS "MONTH",
+ action_type AS CUST_ID, count(fund_code) AS INTERESTED_FUND_COUNT
+ FROM (SELECT *, {TS} - to_months(CAST(customer_id % 24 AS INT)) AS viewed FROM fund_actions) v
+ WHERE action_type = 'open' GROUP BY ALL""",
         "interested_fund_risk_pd": months(
             "v",
             "INTERESTED_FUND_RISK",
