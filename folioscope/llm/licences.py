@@ -5,8 +5,10 @@ stands between their words: blanks, line ends, comment marks, punctuation.  So a
 notice is found wrapped, unwrapped or with its sentences run together.  Sentences
 that are also ordinary speech must begin and end where a sentence or line does.
 The identifiers found, in the order of the text, are then matched against ordered
-rules, the longest first.  A rule uses up its identifiers, so the version sentence
-of one licence does not serve another.
+rules, the longest first.  The identifiers of a rule must follow each other with
+few unknown sentences and no other known one between them, so clauses scattered
+over a text make no licence.  A rule uses up its identifiers, so the version
+sentence of one licence does not serve another.
 """
 
 from __future__ import annotations
@@ -38,8 +40,30 @@ SENTENCES = {
     r"(?: version 2| v2)",
     "GPL_FREE": r"this program is free software you can redistribute it and or modify it under the terms of "
     r"the gnu general public license as published by the free software foundation",
-    "GPL_3_OR_LATER": r"either version 3 of the license or at your option any later version",
-    "GPL_2_OR_LATER": r"either version 2 of the license or at your option any later version",
+    "GPL_3_ONLY": r"(?:redistribute it and or modify it )?under the terms of the gnu general public license version 3"
+    r"(?: only)? as published by the free software foundation",
+    "GPL_2_ONLY": r"(?:redistribute it and or modify it )?under the terms of the gnu general public license version 2"
+    r"(?: only)? as published by the free software foundation",
+    "LGPL_FREE": r"is free software you can redistribute it and or modify it under the terms of "
+    r"the gnu lesser general public license as published by the free software foundation",
+    "AGPL_FREE": r"is free software you can redistribute it and or modify it under the terms of "
+    r"the gnu affero general public license as published by the free software foundation",
+    "GPL_3_OR_LATER": r"(?:either )?version 3 of the license or at your option any later version",
+    "GPL_2_OR_LATER": r"(?:either )?version 2 of the license or at your option any later version",
+    "LGPL_21_OR_LATER": r"(?:either )?version 2 1 of the license or at your option any later version",
+    "VERSION_3": r"version 3 of the license(?! or at your option)",
+    "VERSION_2": r"version 2 of the license(?! or at your option)",
+    "VERSION_21": r"version 2 1 of the license(?! or at your option)",
+    "ZLIB_GRANT": r"permission is granted to anyone to use this software for any purpose including commercial "
+    r"applications and to alter it and redistribute it freely",
+    "ZLIB_ORIGIN": r"the origin of this software must not be misrepresented",
+    "EPL_1": r"available under the terms of the eclipse public license (?:version |v )?1 0",
+    "EPL_2": r"available under the terms of the eclipse public license (?:version |v )?2 0",
+    "BSL_1": r"(?:distributed|licensed) under the boost software license version 1 0",
+    "CC0": r"dedicated all copyright and related and neighboring rights to this (?:software|work) to the public domain",
+    "DUAL": r"(?:dual )?licensed under (?:either of )?(?:the )?(?:terms of )?(?:the )?"
+    r"(?P<kind>(?:mit|apache|bsd 3 clause|mozilla public)(?: license)?(?: version)?(?: 2 0)?"
+    r" (?:or|and) (?:the )?(?:mit|apache|bsd 3 clause|mozilla public)(?: license)?(?: version)?(?: 2 0)?)",
     "LGPL_NAME": r"licensed under the gnu lesser general public license",
     "AGPL_NAME": r"licensed under the gnu affero general public license",
     "MPL_2": r"this source code form is subject to the terms of the mozilla public license v 2 0",
@@ -62,6 +86,24 @@ BEGINS = {"MIT_NAME", "APACHE_2", "GPL_3_NAME", "GPL_2_NAME", "PUBLIC_DOMAIN", "
 ENDS = BEGINS | {"RESERVED"}
 # Licence, and the sentences it shows in this order.
 RULES = (
+    ("LGPL-3.0-or-later", ("LGPL_FREE", "GPL_3_OR_LATER")),
+    ("LGPL-2.1-or-later", ("LGPL_FREE", "LGPL_21_OR_LATER")),
+    ("LGPL-2.0-or-later", ("LGPL_FREE", "GPL_2_OR_LATER")),
+    ("LGPL-3.0-only", ("LGPL_FREE", "VERSION_3")),
+    ("LGPL-2.1-only", ("LGPL_FREE", "VERSION_21")),
+    ("AGPL-3.0-or-later", ("AGPL_FREE", "GPL_3_OR_LATER")),
+    ("AGPL-3.0-only", ("AGPL_FREE", "VERSION_3")),
+    ("GPL-3.0-only", ("GPL_FREE", "VERSION_3")),
+    ("GPL-2.0-only", ("GPL_FREE", "VERSION_2")),
+    ("GPL-3.0-only", ("GPL_3_ONLY",)),
+    ("GPL-2.0-only", ("GPL_2_ONLY",)),
+    ("Zlib", ("ZLIB_GRANT", "ZLIB_ORIGIN")),
+    ("EPL-1.0", ("EPL_1",)),
+    ("EPL-2.0", ("EPL_2",)),
+    ("BSL-1.0", ("BSL_1",)),
+    ("CC0-1.0", ("CC0",)),
+    ("LGPL", ("LGPL_FREE",)),
+    ("AGPL", ("AGPL_FREE",)),
     ("GPL-3.0-or-later", ("GPL_FREE", "GPL_3_OR_LATER")),
     ("GPL-2.0-or-later", ("GPL_FREE", "GPL_2_OR_LATER")),
     ("BSD-3-Clause", ("BSD_GRANT", "BSD_BINARY", "BSD_NAMES")),
@@ -82,6 +124,12 @@ RULES = (
     ("public-domain", ("PUBLIC_DOMAIN",)),
     ("all-rights-reserved", ("RESERVED",)),
 )
+# Names in a choice of licences.
+CHOICES = {"mit": "MIT", "apache": "Apache-2.0", "bsd": "BSD-3-Clause", "mozilla": "MPL-2.0"}
+BETWEEN = 4  # unknown sentences between two of a rule
+WORDS = 60  # words of a sentence; a longer stretch without an end counts as several
+BREAKS = re.compile(r"[.;:!?](?=\s)|\n[^\S\n]*\n")
+WORD = re.compile(r"[a-z0-9]+", re.IGNORECASE)
 GAP = re.compile(r"[^a-z0-9]*")
 GAPS = {
     " ": r"[^a-z0-9]++",
@@ -157,29 +205,45 @@ def sentences(text: str, known: Known) -> list[tuple[int, int, str]]:
     return kept
 
 
-def ruled(names: list[str]) -> list[str]:
-    """Licences whose rules match, in the order of their first sentence; each identifier serves once."""
+def unknown(text: str, found: list[tuple[int, int, str]]) -> list[int]:
+    """How many unknown sentences stand before each known one, back to the known one before."""
+    counts, until = [], 0
+    for start, end, _ in found:
+        lengths = (sum(1 for _ in WORD.finditer(part)) for part in BREAKS.split(text[until:start]))
+        counts.append(sum(-(-n // WORDS) for n in lengths))
+        until = end
+    return counts
+
+
+def ruled(names: list[str], before: list[int] | None = None) -> list[str]:
+    """Licences whose rules match, in the order of their first sentence; each identifier serves once.
+
+    ``before`` counts the unknown sentences before each identifier.
+    """
     free, found = list(names), []
+    # A copyright line may stand between the sentences of a notice.
+    order = [k for k, name in enumerate(names) if name != "RESERVED"]
+    apart = {k: before[k] if before else 0 for k in range(len(names))}
+    for place, following in zip(order, order[1:]):
+        apart[following] += sum(apart[k] for k in range(place + 1, following))
     for licence, needed in sorted(RULES, key=lambda rule: -len(rule[1])):
-        while True:
-            places, at = [], 0
-            for name in needed:
-                try:
-                    at = free.index(name, at) + 1
-                except ValueError:
-                    break
-                places.append(at - 1)
-            if len(places) < len(needed):
-                break
-            for place in places:
-                free[place] = ""
-            found.append((places[0], licence))
+        line = list(range(len(names))) if needed == ("RESERVED",) else order
+        for at in range(len(line) - len(needed) + 1):
+            places = line[at : at + len(needed)]
+            near = all(apart[k] <= BETWEEN for k in places[1:])
+            if near and all(free[k] == name for k, name in zip(places, needed)):
+                for place in places:
+                    free[place] = ""
+                found.append((places[0], licence))
     for place, name in enumerate(free):
         kind, _, rest = name.partition(":")
         if kind == "CC":
             found.append((place, "CC-" + rest.upper()))
         elif kind == "SPDX":
             found.append((place, rest))
+        elif kind == "DUAL":
+            choice = [CHOICES[word] for word in rest.split("-") if word in CHOICES]
+            found.append((place, (" OR " if "or" in rest.split("-") else " AND ").join(choice)))
     return list(dict.fromkeys(licence for _, licence in sorted(found)))
 
 
@@ -196,7 +260,9 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
         def step(texts: list) -> list:
             spans = [sentences(t, known) if t else [] for t in texts]
-            licences = [ruled([name for _, _, name in s]) for s in spans]
+            licences = [
+                ruled([name for _, _, name in s], unknown(t, s)) if s else [] for t, s in zip(texts, spans)
+            ]
             return [licences, [[dict(zip(SPAN, span)) for span in s] for s in spans]]
 
         return step
