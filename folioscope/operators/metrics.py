@@ -83,22 +83,26 @@ def hour_bucket_pct(actions: DataFrame, fill_missing: bool = False) -> DataFrame
 def _with_idle_months(counts: DataFrame) -> DataFrame:
     """Zero rows for idle months, only if some part of the day is absent everywhere.
 
-    Years and months are bounded sets (a table spans few years), so they are
-    scalar subqueries that each customer explodes.
+    Years and months are bounded sets (a table spans few years), so they are one
+    scalar subquery, with the sums of the parts.  A customer's months, no more than
+    the table has, are gathered in one row; the idle ones are added to that list
+    and all are listed as they are read, so no row that is filled in is shuffled
+    or held.
     """
-    absent = counts.agg(F.least(*[F.sum(name) for name in BUCKETS]) == 0).scalar()
-    years = counts.agg(F.collect_set("YEAR")).scalar()
-    months = counts.agg(F.collect_set("MONTH")).scalar()
-    idle = (
-        counts.select("CUST_ID")
-        .distinct()
-        .filter(absent)
-        .withColumn("YEAR", F.explode(years))
-        .withColumn("MONTH", F.explode(months))
-        .select(*KEYS, *[F.lit(0).cast("bigint").alias(name) for name in BUCKETS])
+    absent = F.least(*[F.sum(name) for name in BUCKETS]) == 0
+    ends = counts.agg(
+        F.struct(absent.alias("absent"), F.collect_set("YEAR").alias("years"), F.collect_set("MONTH").alias("months"))
     )
+    of_customer = counts.groupBy("CUST_ID").agg(
+        F.collect_list(F.struct(F.expr("YEAR * 12 + MONTH - 1").alias("at"), *BUCKETS)).alias("busy")
+    )
+    every = "flatten(transform(ends.years, y -> transform(ends.months, m -> y * 12 + m - 1)))"
+    idle = f"array_except(if(ends.absent, {every}, array()), busy.at)"
+    zeros = ", ".join(f"'{name}', 0L" for name in BUCKETS)
     return (
-        counts.unionByName(idle).groupBy(*KEYS).agg(*[F.sum(name).alias(name) for name in BUCKETS])
+        of_customer.withColumn("ends", ends.scalar())
+        .selectExpr("CUST_ID", f"inline(concat(busy, transform({idle}, x -> named_struct('at', x, {zeros}))))")
+        .selectExpr("CUST_ID", "CAST(at DIV 12 AS INT) AS YEAR", "at % 12 + 1 AS MONTH", *BUCKETS)
     )
 
 

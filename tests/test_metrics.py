@@ -92,6 +92,31 @@ def test_idle_months_are_filled_only_if_a_bucket_is_absent(spark):
     )
 
 
+def test_filled_months_are_neither_shuffled_nor_held(spark):
+    """The lists of months are opened last; no row that was filled in meets an aggregate or a shuffle."""
+    log = landed(
+        spark,
+        "actions",
+        [
+            (1, K.CASH_IN, at("2024-12-05 08:00:00"), money(1), "NA"),
+            (None, K.CASH_IN, at("2023-01-05 08:00:00"), money(1), "NA"),
+            (None, K.CASH_IN, at("2023-01-06 23:00:00"), money(1), "NA"),
+        ],
+    )
+    found = metrics.hour_bucket_pct(log, fill_missing=True)
+    zero, full, half = ("0%",) * 4, ("100.00%", "0.00%", "0.00%", "0.00%"), ("50.00%", "0.00%", "0.00%", "50.00%")
+    assert rows(found) == sorted(
+        [
+            (1, 2023, 1, *zero), (1, 2023, 12, *zero), (1, 2024, 1, *zero), (1, 2024, 12, *full),
+            (None, 2023, 1, *half), (None, 2023, 12, *zero), (None, 2024, 1, *zero), (None, 2024, 12, *zero),
+        ],
+        key=lambda r: [(v is not None, str(v)) for v in r],
+    )
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    above, opened, _ = plan.partition("Generate inline")
+    assert opened and "Aggregate" not in above and "Union" not in plan
+
+
 def test_row_ratios_follow_floating_point(spark):
     table = landed(
         spark,
