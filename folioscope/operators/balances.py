@@ -86,21 +86,25 @@ def monthly_outstanding_funds(
 ) -> DataFrame:
     """Fund holdings on the last known day of each month, summed over portfolios.
 
-    Two nested aggregates do it without a window or a second read: sum per day,
-    then the sum of the latest day.
+    A portfolio counts if its own last day is the last one of all, so each keeps
+    that day only before it meets its customer: a row per portfolio, fund and
+    month goes into the join.  Laid out by portfolio, the rows are summed per
+    day, cut to the last day and joined in place; no window or second read.
     """
     known = _known(_in_currency(eod_holdings, start, end, closed), as_of, legacy)
-    who = ["member_serno", "customer_id", "fund_code"]
-    daily = (
-        known.join(portfolio_ids, "portfolio_serno")
-        .groupBy(*who, "day")
+    who = ["member_serno", "customer_id", "fund_code", "month_end"]
+    latest = (
+        known.select("portfolio_serno", "fund_code", "day", "size")
+        .repartition("portfolio_serno")
+        .groupBy("portfolio_serno", "fund_code", "day")
         .agg(F.sum("size").alias("size"))
+        .withColumn("month_end", _month_end(as_of, legacy))
+        .groupBy("portfolio_serno", "fund_code", "month_end")
+        .agg(F.max("day").alias("day"), F.max_by("size", "day").alias("size"))
     )
-    monthly = (
-        daily.withColumn("month_end", _month_end(as_of, legacy))
-        .groupBy(*who, "month_end")
-        .agg(F.max_by("size", "day").alias("size"))
-    )
+    of_members = latest.join(portfolio_ids, "portfolio_serno").repartition("member_serno", "fund_code")
+    daily = of_members.groupBy(*who, "day").agg(F.sum("size").alias("size"))
+    monthly = daily.groupBy(*who).agg(F.max_by("size", "day").alias("size"))
     labelled = monthly.select("member_serno", "customer_id", "fund_code", _label(), "size")
     if legacy:
         labelled = labelled.groupBy("member_serno", "customer_id", "fund_code", "year_month").agg(

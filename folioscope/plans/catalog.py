@@ -30,7 +30,7 @@ from folioscope.session import shared_dir
 from folioscope.sinks import state as job_state
 from folioscope.sinks import tables as sinks
 from folioscope.sources.sample import SampleSources
-from folioscope.sources.tables import source_scan
+from folioscope.sources.tables import StoredSources, source_scan
 
 AS_OF, START, END = date(2024, 1, 31), date(2023, 11, 1), date(2024, 2, 1)
 MID_AS_OF, MID = date(2024, 1, 15), date(2024, 1, 16)
@@ -46,6 +46,29 @@ class Fixture:
         self.source = SampleSources(spark, sf_dir)
         self.landed = Landing(self.source, START, END, AS_OF)
 
+    def _stored(self, name: str, rows: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/{name}"
+        sinks.write_table(rows, path)
+        return sinks.read_table(self.spark, path)
+
+    @cached_property
+    def _shared(self) -> Landing:
+        """What hangs on no window, in tables: who is who, daily balances, cancelled orders."""
+        sources = StoredSources(self.source, ["eod_accounts"], self._stored)
+        shared = Landing(sources, START, END, AS_OF)
+        for name in ("ids", "account_ids", "portfolio_ids", "order_cancels"):
+            setattr(shared, name, self._stored(name, getattr(shared, name)))
+        return shared
+
+    def landing(self, start: date, end: date, as_of: date) -> Landing:
+        """The landed tables of a window, for plans that read many of them or several windows.
+
+        Balances are read once for the month ends and the days of all windows.
+        """
+        made = Landing(self._shared.sources, start, end, as_of)
+        made.share(self._shared)
+        return made
+
     @cached_property
     def formatted(self) -> DataFrame:
         return paths.digital_formatted(self.landed.digital_actions, AS_OF)
@@ -57,9 +80,7 @@ class Fixture:
     @cached_property
     def stored_process(self) -> DataFrame:
         """The process as the daily job leaves it: a table, for plans that read it repeatedly."""
-        path = f"{shared_dir(self.spark)}/digital_actions_process"
-        sinks.write_table(self.process, path)
-        return sinks.read_table(self.spark, path)
+        return self._stored("digital_actions_process", self.process)
 
     @cached_property
     def occurrences(self) -> DataFrame:
@@ -126,8 +147,7 @@ def _upload_log(f: Fixture) -> DataFrame:
 
 def _feature_merge(f: Fixture) -> DataFrame:
     """The matrix of the first half of the window, with the second half laid over it."""
-    old = Landing(f.source, START, MID, MID_AS_OF)
-    new = Landing(f.source, MID, END, AS_OF)
+    old, new = f.landing(START, MID, MID_AS_OF), f.landing(MID, END, AS_OF)
     return summaries.arketip(new, AS_OF, summaries.arketip(old, MID_AS_OF))
 
 
@@ -258,7 +278,7 @@ MONTHLY: dict[str, Query] = {
         f.landed.monthly_outstanding_funds, f.landed.fund_details
     ),
     "ym_hourly_activity": lambda f: monthly.ym_hourly_activity(f.landed.actions),
-    "summary_year_month": lambda f: summaries.summary_year_month(f.landed),
+    "summary_year_month": lambda f: summaries.summary_year_month(f.landing(START, END, AS_OF)),
     "fund_clicks": lambda f: fund_monthly.fund_clicks(f.landed.fund_actions),
     "fund_transaction_volume": lambda f: fund_monthly.fund_transaction_volume(f.landed.actions),
     "fund_outstanding": lambda f: fund_monthly.fund_outstanding(f.landed.monthly_outstanding_funds),
@@ -351,9 +371,9 @@ def _summary_by_month(f: Fixture) -> DataFrame:
     """The monthly summary after the first half, its last month then built anew from both halves."""
     path = f"{shared_dir(f.spark)}/summary_year_month"
     by_month = {"mode": "partitions", "partition_by": ["year", "month"]}
-    sinks.write_table(summaries.summary_year_month(Landing(f.source, START, MID, MID_AS_OF)), path, **by_month)
+    sinks.write_table(summaries.summary_year_month(f.landing(START, MID, MID_AS_OF)), path, **by_month)
     month = f"{MID:%Y/%m}"
-    new = summaries.summary_year_month(summaries.OfMonths(f.landed, [month]))
+    new = summaries.summary_year_month(summaries.OfMonths(f.landing(START, END, AS_OF), [month]))
     sinks.write_table(new, path, covered=[(MID.year, MID.month)], **by_month)
     return sinks.read_table(f.spark, path)
 
@@ -361,7 +381,7 @@ def _summary_by_month(f: Fixture) -> DataFrame:
 def _merge_by_bucket(f: Fixture, buckets: int = 64) -> DataFrame:
     """``feature_merge`` on a stored matrix: only buckets with a measured feature are read and rewritten."""
     folder = shared_dir(f.spark)
-    old, new = Landing(f.source, START, MID, MID_AS_OF), Landing(f.source, MID, END, AS_OF)
+    old, new = f.landing(START, MID, MID_AS_OF), f.landing(MID, END, AS_OF)
     bucket = upkeep.bucket_of("customer_id", buckets)
     by_bucket = {"mode": "partitions", "partition_by": ["bucket"]}
     sinks.write_table(summaries.arketip(old, MID_AS_OF).withColumn("bucket", bucket), f"{folder}/matrix", **by_bucket)

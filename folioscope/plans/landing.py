@@ -59,6 +59,15 @@ class Landing:
         self.ids, self.account_ids = other.ids, other.account_ids
         self.portfolio_ids = other.portfolio_ids
 
+    def share(self, other: Landing) -> None:
+        """Take from ``other``, of the same sources, all that hangs on no window."""
+        self.share_ids(other)
+        self.order_cancels = other.order_cancels
+
+    @cached_property
+    def order_cancels(self) -> DataFrame:
+        return actions.order_cancels(self.sources["fund_orders"], self.portfolio_ids)
+
     @cached_property
     def digital_actions(self) -> DataFrame:
         return events.digital_actions(self.sources["activity"], self.ids, self.start, self.end)
@@ -85,7 +94,7 @@ class Landing:
         """The part of the action log that has no window and is replaced by each run."""
         return actions.all_actions(
             actions.member_actions(self.sources["members"], self.ids, self.as_of),
-            actions.order_cancels(self.sources["fund_orders"], self.portfolio_ids),
+            self.order_cancels,
             actions.new_portfolios(self.sources["portfolios"], self.account_ids),
             actions.multiple_ibans(self.sources["recorded_ibans"], self.ids, self.as_of),
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -38,6 +38,35 @@ def read_jdbc(
     return reader.load()
 
 
+class StoredSources(Mapping):
+    """Sources of which the ``names`` come from ``store``, asked once each.
+
+    For sources that are costly to derive and that several tables or windows read.
+    """
+
+    def __init__(
+        self,
+        sources: Mapping[str, DataFrame],
+        names: Sequence[str],
+        store: Callable[[str, DataFrame], DataFrame],
+    ):
+        self.sources, self.names, self.store = sources, names, store
+        self._stored: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            return self.sources[name]
+        if name not in self._stored:
+            self._stored[name] = self.store(name, self.sources[name])
+        return self._stored[name]
+
+    def __iter__(self):
+        return iter(self.sources)
+
+    def __len__(self) -> int:
+        return len(self.sources)
+
+
 class ParquetSources(Mapping):
     """Source tables by name, one parquet folder each under ``root``."""
 

@@ -198,6 +198,34 @@ def test_month_end_holdings_have_a_last_day_per_fund(spark):
     assert rows(legacy.select("fund_code", F.col("size").cast("int"))) == [("F01", 3), ("F02", 12)]
 
 
+def test_portfolios_are_cut_to_their_last_day_before_the_join(spark):
+    """A portfolio that ends earlier than another does not count; one in two entries counts twice."""
+    portfolio_ids = spark.createDataFrame(
+        [(20, 1, 901), (21, 1, 901), (22, 2, 902), (22, 2, 902)],
+        "portfolio_serno bigint, member_serno bigint, customer_id bigint",
+    )
+    eod = source(
+        spark,
+        "eod_holdings",
+        [
+            (20, "F01", "TRY", day("2024-01-29"), money(1)),
+            (20, "F01", "TRY", day("2024-01-30"), money(2)),
+            (21, "F01", "TRY", day("2024-01-29"), money(4)),
+            (22, "F01", "TRY", day("2024-01-30"), money(8)),
+            (22, "F01", "TRY", day("2024-01-30"), money(16)),
+            (22, None, "TRY", day("2024-01-30"), None),
+            (None, "F01", "TRY", day("2024-01-30"), money(32)),
+        ],
+    )
+    args = (eod, portfolio_ids, date(2024, 1, 1), date(2024, 2, 1), day("2024-01-31"))
+    held = balances.monthly_outstanding_funds(*args)
+    assert rows(held.select("customer_id", "fund_code", F.col("size").cast("int"))) == [
+        (901, "F01", 2), (902, None, None), (902, "F01", 48),
+    ]
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("max_by(size", plan.index("Join Inner"))
+
+
 def test_display_timestamp(spark):
     df = spark.createDataFrame([(at("2024-01-05 09:07:30"),), (None,)], "t timestamp_ntz")
     assert rows(df.select(display_timestamp(F.col("t")))) == [("09.07-05.01.24",), ("N/A",)]

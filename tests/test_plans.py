@@ -10,6 +10,7 @@ from folioscope.functions.joins import SALTS, heavy_keys, salted_join
 from folioscope.plans.catalog import QUERIES, Fixture
 from folioscope.operators import features, members, paths
 from folioscope.operators.events import digital_actions
+from folioscope.sources.sample import SampleSources
 from tests.frames import at, landed
 
 
@@ -231,3 +232,14 @@ def test_summary_joins_add_no_shuffle(shuffled, plans):
     for plan in (shuffled("summary_year_month"), plans("summary_year_month")):
         by_key = [k for k in exchanges(plan) if {"year", "month"} <= k]
         assert by_key == [{"customer_id", "year", "month"}] * 5
+
+
+@pytest.mark.parametrize("name", ["summary_year_month", "summary_year_month_by_month", "feature_merge_by_bucket"])
+def test_windows_share_what_has_none(spark, monkeypatch, name):
+    """Balances and cancelled orders are derived once, whatever the tables and windows that read them."""
+    asked = []
+    view = SampleSources.__getitem__
+    monkeypatch.setattr(SampleSources, "__getitem__", lambda self, name: asked.append(name) or view(self, name))
+    QUERIES[name](Fixture(spark, contract.SMOKE_DIR))
+    assert asked.count("fund_orders") == asked.count("serno_mapping") == 1
+    assert asked.count("eod_accounts") == (0 if name == "feature_merge_by_bucket" else 1)
