@@ -35,8 +35,8 @@ def _month_end(as_of, legacy: bool) -> Column:
     return F.when(F.col("day") == today, F.date_sub(today, 1)).otherwise(month_end)
 
 
-def _label() -> Column:
-    return F.date_format("month_end", "yyyy/MM").alias("year_month")
+def _label(month_end: str = "__month") -> Column:
+    return F.date_format(month_end, "yyyy/MM").alias("year_month")
 
 
 def _on_latest_day(rows: DataFrame, *keys: str) -> DataFrame:
@@ -60,6 +60,8 @@ def monthly_outstandings(
 ) -> DataFrame:
     """Account balances on each member's last known day of each month.
 
+    The label comes of an aggregate of the month: conditions on the text would
+    else be moved below everything, and form and parse it for every balance.
     All accounts with a balance on that day stay separate rows.  Balances are read
     once: each account keeps its latest day of a month before it meets its member,
     and the member then keeps the latest of those.
@@ -67,7 +69,9 @@ def monthly_outstandings(
     known = _known(_in_currency(eod_accounts, start, end, closed), as_of, legacy)
     dated = known.withColumn("month_end", _month_end(as_of, legacy))
     latest = _on_latest_day(dated, "account_serno", "month_end").join(account_ids, "account_serno")
-    return _on_latest_day(latest, "member_serno", "month_end").select(
+    kept = _on_latest_day(latest, "member_serno", "month_end")
+    whole = W.partitionBy("member_serno", "month_end")
+    return kept.withColumn("__month", F.max("month_end").over(whole)).select(
         "customer_id",
         _label(),
         F.col("size").alias("account_volume"),
@@ -104,7 +108,8 @@ def monthly_outstanding_funds(
     )
     of_members = latest.join(portfolio_ids, "portfolio_serno").repartition("member_serno", "fund_code")
     daily = of_members.groupBy(*who, "day").agg(F.sum("size").alias("size"))
-    monthly = daily.groupBy(*who).agg(F.max_by("size", "day").alias("size"))
+    # As above, the label is no grouping key, so that no condition on it reaches the scan.
+    monthly = daily.groupBy(*who).agg(F.max_by("size", "day").alias("size"), F.max("month_end").alias("__month"))
     labelled = monthly.select("member_serno", "customer_id", "fund_code", _label(), "size")
     if legacy:
         labelled = labelled.groupBy("member_serno", "customer_id", "fund_code", "year_month").agg(

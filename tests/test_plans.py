@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 from folioscope.functions.joins import SALTS, heavy_keys, salted_join
 from folioscope.plans.catalog import QUERIES, Fixture
-from folioscope.operators import features, members, paths
+from folioscope.operators import features, members, monthly, paths
 from folioscope.operators.events import digital_actions
 from folioscope.sources.sample import SampleSources
 from tests.frames import at, landed
@@ -243,3 +243,12 @@ def test_windows_share_what_has_none(spark, monkeypatch, name):
     QUERIES[name](Fixture(spark, contract.SMOKE_DIR))
     assert asked.count("fund_orders") == asked.count("serno_mapping") == 1
     assert asked.count("eod_accounts") == (0 if name == "feature_merge_by_bucket" else 1)
+
+
+@pytest.mark.parametrize("table", ["monthly_outstandings", "monthly_outstanding_funds"])
+def test_month_conditions_stay_off_the_scan(spark, table):
+    """No balance has its month formed as a text and parsed to see whether it is one."""
+    held = getattr(Fixture(spark, contract.SMOKE_DIR).landed, table)
+    found = monthly.ym_volumes(held) if table == "monthly_outstandings" else monthly.ym_owned_fund_count(held)
+    filters = re.findall(r"Filter [^\n]*RLIKE[^\n]*", found._jdf.queryExecution().optimizedPlan().toString())
+    assert len(filters) == 1 and "l_orderkey" not in filters[0]
