@@ -373,7 +373,8 @@ def _summary_by_month(f: Fixture) -> DataFrame:
     by_month = {"mode": "partitions", "partition_by": ["year", "month"]}
     sinks.write_table(summaries.summary_year_month(f.landing(START, MID, MID_AS_OF)), path, **by_month)
     month = f"{MID:%Y/%m}"
-    new = summaries.summary_year_month(summaries.OfMonths(f.landing(START, END, AS_OF), [month]))
+    whole = f.landing(MID.replace(day=1), END, AS_OF)
+    new = summaries.summary_year_month(summaries.OfMonths(whole, [month]))
     sinks.write_table(new, path, covered=[(MID.year, MID.month)], **by_month)
     return sinks.read_table(f.spark, path)
 

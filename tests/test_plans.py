@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from folioscope.functions.joins import SALTS, heavy_keys, salted_join
-from folioscope.plans.catalog import QUERIES, Fixture
+from folioscope.plans.catalog import AS_OF, END, MID, MID_AS_OF, QUERIES, START, Fixture
 from folioscope.operators import features, members, monthly, paths
 from folioscope.operators.events import digital_actions
 from folioscope.sources.sample import SampleSources
@@ -252,3 +252,12 @@ def test_month_conditions_stay_off_the_scan(spark, table):
     found = monthly.ym_volumes(held) if table == "monthly_outstandings" else monthly.ym_owned_fund_count(held)
     filters = re.findall(r"Filter [^\n]*RLIKE[^\n]*", found._jdf.queryExecution().optimizedPlan().toString())
     assert len(filters) == 1 and "l_orderkey" not in filters[0]
+
+
+def test_a_month_is_built_from_its_own_days(spark, monkeypatch):
+    """The month built anew asks for a window of that month, not for a whole one to be cut afterwards."""
+    windows = []
+    landing = Fixture.landing
+    monkeypatch.setattr(Fixture, "landing", lambda self, *window: windows.append(window) or landing(self, *window))
+    QUERIES["summary_year_month_by_month"](Fixture(spark, contract.SMOKE_DIR))
+    assert windows == [(START, MID, MID_AS_OF), (MID.replace(day=1), END, AS_OF)]
